@@ -100,13 +100,13 @@ def words_of(text: str) -> str:
 def chunks(source: str, size: int, overlap: int) -> str:
     """Chunks of `source(key, text)`: every sentence either fits, closes a chunk, or is cut into windows."""
     step = size - overlap
-    return f"""worded AS (SELECT key, {words_of("text")} AS words FROM {source}),
+    return f"""worded AS MATERIALIZED (SELECT key, {words_of("text")} AS words FROM {source}),
 stops AS (
-  SELECT key, pos FROM (SELECT key, words, unnest(range(1, len(words) + 1)) AS pos FROM worded)
-  WHERE pos = len(words) OR right(words[pos], 1) IN ('.', '!', '?')),
-lengths AS (
+  SELECT key, pos FROM (SELECT key, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos, len(words) AS total FROM worded)
+  WHERE pos = total OR right(word, 1) IN ('.', '!', '?')),
+lengths AS MATERIALIZED (
   SELECT key, row_number() OVER w AS i, pos - coalesce(lag(pos) OVER w, 0) AS n FROM stops WINDOW w AS (PARTITION BY key ORDER BY pos)),
-fold AS (
+fold AS MATERIALIZED (
   SELECT key, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS cs, CAST(0 AS BIGINT) AS ce,
     CAST(0 AS BIGINT) AS es, CAST(0 AS BIGINT) AS ee, false AS long FROM worded
   UNION ALL
@@ -395,19 +395,19 @@ SQL = {
         )
         for name, settings in (("chunk_documents", FULL), ("chunk_documents_small", SMALL))
     },
-    "split_sentences": rf"""SELECT doc_id, CAST(i - 1 AS INTEGER) AS sentence_no, s[i] AS sentence, CAST(len({words_of("s[i]")}) AS INTEGER) AS n_words
-FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (
+    "split_sentences": rf"""SELECT doc_id, CAST(i - 1 AS INTEGER) AS sentence_no, sentence, CAST(len({words_of("sentence")}) AS INTEGER) AS n_words
+FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FROM (
   SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)),
     lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')), lambda p: p <> '') AS s FROM documents))""",
     "word_counts": with_(
         *doc_chunks(FULL)[:1],
-        chunks("source_texts", FULL.size, FULL.overlap).split("fold AS")[0].rstrip().rstrip(","),
+        chunks("source_texts", FULL.size, FULL.overlap).split("fold AS MATERIALIZED")[0].rstrip().rstrip(","),
         select="""SELECT key AS doc_id, CAST(sum(n) AS INTEGER) AS n_words, CAST(count(*) AS INTEGER) AS n_sentences,
   CAST(max(n) AS INTEGER) AS longest_sentence FROM lengths GROUP BY key""",
     ),
     "long_sentence_windows": with_(
         *doc_chunks(FULL)[:1],
-        chunks("source_texts", FULL.size, FULL.overlap).split("fold AS")[0].rstrip().rstrip(","),
+        chunks("source_texts", FULL.size, FULL.overlap).split("fold AS MATERIALIZED")[0].rstrip().rstrip(","),
         select=f"""SELECT key AS doc_id, CAST(i - 1 AS INTEGER) AS sentence_no, CAST(n AS INTEGER) AS n_words,
   CAST(start // {SMALL.size - SMALL.overlap} AS INTEGER) AS window_no, CAST(start AS INTEGER) AS start,
   CAST(least({SMALL.size}, n - start) AS INTEGER) AS length

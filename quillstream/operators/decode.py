@@ -25,21 +25,44 @@ def _kind(variant: Column) -> Column:
     )
 
 
-def _long_field(value: Column, name: str) -> tuple[Column, Column]:
-    """Kind and text of a field in a value that is too long for a variant."""
+# Types other than string that a field of a long value is probed for.
+PROBES = ("double", "boolean", "map<string,string>", "array<string>")
+# Strings that a JSON reader takes for numbers.
+NUMBER_WORDS = ("NaN", "Infinity", "+Infinity", "-Infinity", "INF", "+INF", "-INF")
+
+
+def _long_parts(text: Column, fields: Sequence[str]) -> dict[str, Column]:
+    """What is needed to read a value too long for a variant; NULL, and not computed, for all others."""
+    long = F.octet_length(text) > VARIANT_BYTES
 
     def read(kind: str) -> Column:
-        return F.from_json(value, f"`{name}` {kind}", JSON_OPTIONS)[name]
+        return F.when(long, F.from_json(text, ", ".join(f"`{name}` {kind}" for name in fields), JSON_OPTIONS))
+
+    parts = {"_long": read("string"), "_keys": F.when(long, F.json_object_keys(text))}
+    return parts | {f"_probe{n}": read(kind) for n, kind in enumerate(PROBES)}
 
-    text = read("string")
-    other = F.coalesce(
-        read("double").isNotNull() & ~text.isin("NaN", "Infinity", "-Infinity", "+Infinity", "INF", "+INF", "-INF"),
-        F.lit(False),
+
+def _long_kind(name: str) -> Column:
+    text = F.col("_long")[name]
+    number = F.col("_probe0")[name].isNotNull() & ~text.isin(*NUMBER_WORDS)
+    other = number
+    for n in range(1, len(PROBES)):
+        other = other | F.col(f"_probe{n}")[name].isNotNull()
+    return (
+        F.when(~F.array_contains("_keys", name), F.lit("missing"))
+        .when(text.isNull(), F.lit("null"))
+        .when(other, F.lit("other"))
+        .otherwise(F.lit("string"))
     )
-    other = other | read("boolean").isNotNull() | read("map<string,string>").isNotNull() | read("array<string>").isNotNull()
-    present = F.get_json_object(value, f"$.{name}")
-    kind = F.when(text.isNull() & present.isNull(), F.lit("missing")).when(other, F.lit("other")).otherwise(F.lit("string"))
-    return kind, text
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, computed before anything above: filters on them are not pushed down.
+
+    Pushing a filter on decoded fields to the source would parse each message once more for every field it names. A
+    filter cannot pass a generator that makes its columns, so the rows go through one that gives back one row each.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def decode_json(df: DataFrame, fields: Sequence[str], rank: int) -> DataFrame:
@@ -48,38 +71,32 @@ def decode_json(df: DataFrame, fields: Sequence[str], rank: int) -> DataFrame:
     `json_status` is `ok`, `bad_json` or `not_object`. Unknown fields are dropped. The value is parsed inside an
     object and inside an array: each wrapping alone would let some trailing text pass, both together let none.
     """
+    kept = [name for name in df.columns if name != "value"]
     kinds = ", ".join(f"`{name}`: variant" for name in fields)
-    raw = F.col("value")
-    text = raw.cast("string")
+    text = F.col("value").cast("string")
     if dict(df.dtypes)["value"] == "binary":
         text = F.when(F.is_valid_utf8(text), text)
     parsed = df.select(
-        *[c for c in df.columns if c != "value"],
-        text.alias("_text"),
+        *kept,
         F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v struct<{kinds}>", JSON_OPTIONS)["v"].alias("_json"),
         F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", JSON_OPTIONS)).alias("_values"),
-        (F.octet_length(text) > VARIANT_BYTES).alias("_long"),
+        F.startswith(F.regexp_replace(text, r"^[ \t\r\n]+", ""), F.lit("{")).alias("_object"),
+        *[part.alias(name) for name, part in _long_parts(text, fields).items()],
     )
-    starts_object = F.substring(F.ltrim(F.translate(F.col("_text"), "\t\r\n", "   ")), 1, 1) == "{"
+    is_long = F.col("_keys").isNotNull()
     status = (
-        F.when(F.col("_text").isNull() | F.col("_values").isNull() | (F.col("_values") != 1), F.lit("bad_json"))
-        .when(F.col("_json").isNotNull() | (F.col("_long") & starts_object), F.lit("ok"))
-        .when(starts_object, F.lit("bad_json"))
+        F.when(F.coalesce(F.col("_values"), F.lit(0)) != 1, F.lit("bad_json"))
+        .when(F.col("_json").isNotNull() | is_long, F.lit("ok"))
+        .when(F.col("_object"), F.lit("bad_json"))
         .otherwise(F.lit("not_object"))
     )
     decoded = []
     for name in fields:
         variant = F.col("_json")[name]
-        long_kind, long_text = _long_field(F.col("_text"), name)
-        kind = _kind(variant)
-        short = F.struct(
-            kind.alias("kind"),
-            F.when(kind == "string", F.try_variant_get(variant, "$", "string")).alias("text"),
-        )
-        long = F.struct(long_kind.alias("kind"), F.when(long_kind == "string", long_text).alias("text"))
-        decoded.append(F.when(F.col("_long"), long).otherwise(short).alias(name))
-    kept = [c for c in df.columns if c != "value"]
-    return parsed.select(*kept, arrival(rank).alias("arrival"), status.alias("json_status"), *decoded)
+        kind = F.when(is_long, _long_kind(name)).otherwise(_kind(variant))
+        value = F.when(is_long, F.col("_long")[name]).otherwise(F.try_variant_get(variant, "$", "string"))
+        decoded.append(F.struct(kind.alias("kind"), F.when(kind == "string", value).alias("text")).alias(name))
+    return computed_once(parsed.select(*kept, arrival(rank).alias("arrival"), status.alias("json_status"), *decoded))
 
 
 def decode_documents(df: DataFrame) -> DataFrame:
