@@ -521,9 +521,9 @@ FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FR
     + fused("coalesce(t.s, 0) + coalesce(v.s, 0)", K),
     "filtered_search": with_(
         *INDEX,
-        "some AS (SELECT * FROM idx WHERE lang IN ('fr', 'de', 'es') AND chunk_id <= 0)",
+        "chosen AS (SELECT * FROM idx WHERE lang IN ('fr', 'de', 'es') AND chunk_id <= 0)",
         BENCH,
-        *bm25("some", K),
+        *bm25("chosen", K),
         select=HITS + "text_hits",
     ),
     "lookup_doc": with_(

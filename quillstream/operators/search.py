@@ -115,13 +115,20 @@ def _query_blocks(queries: DataFrame, dim: int) -> list[DataFrame]:
     return [usable.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block) for block in range(blocks)]
 
 
-def _unit_queries(block: DataFrame, dim: int) -> tuple[list, np.ndarray]:
-    """Ids and unit vectors of one block; a vector of length 0 has no direction and finds nothing."""
-    rows = block.collect()
-    vectors = np.array([row["embedding"] for row in rows], dtype=np.float64).reshape(len(rows), dim)
-    norms = np.linalg.norm(vectors, axis=1)
-    known = norms > 0
-    return [row["query_id"] for row, keep in zip(rows, known) if keep], vectors[known] / norms[known, None]
+def _query_matrix(block: DataFrame, dim: int) -> tuple[list, np.ndarray]:
+    """Ids and vectors of one block; a vector of length 0 has no direction and finds nothing."""
+    rows = [row for row in block.collect() if any(row["embedding"])]
+    return [row["query_id"] for row in rows], np.array([row["embedding"] for row in rows], float).reshape(len(rows), dim)
+
+
+def _cosines(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Cosines by (query, row), rounded half away from zero as SQL does; -inf for rows of length 0."""
+    norms = np.linalg.norm(rows, axis=1)
+    lengths = np.linalg.norm(queries, axis=1)[:, None] * np.where(norms > 0, norms, 1.0)
+    scaled = queries @ rows.T / lengths * 10**PLACES
+    cosines = np.copysign(np.floor(np.abs(scaled) + 0.5), scaled) / 10**PLACES + 0.0
+    cosines[:, norms == 0] = -np.inf
+    return cosines
 
 
 class _Best:
@@ -185,10 +192,7 @@ def _scan(
             if not batch.num_rows:
                 continue
             data = matrix(batch.column("embedding"), dim)
-            norms = np.linalg.norm(data, axis=1)
-            known = norms > 0
-            scores = np.round(vectors @ (data / np.where(known, norms, 1.0)[:, None]).T, PLACES) + 0.0
-            scores[:, ~known] = -np.inf
+            scores = _cosines(vectors, data)
             if tables is not None:
                 buckets = matrix(batch.column("lsh"), tables.shape[1])
                 shares = (tables[:, None, :] == buckets[None, :, :]).any(axis=2)
@@ -220,7 +224,7 @@ def _nearest(idx: DataFrame, queries: DataFrame, k: int, dim: int, lsh: tuple[in
     blocks = _query_blocks(queries, dim)
     parts: list[DataFrame] = []
     for block in blocks:
-        query_ids, vectors = _unit_queries(block, dim)
+        query_ids, vectors = _query_matrix(block, dim)
         tables, near = None, rows.select("index_name", "row_id", "embedding")
         if lsh is not None:
             tables = lsh_buckets(vectors, *lsh)
