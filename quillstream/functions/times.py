@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 # Fixed value: the shape a time must have after the rewrites below.
 SHAPE = (
     r"^\d{4}-\d{2}-\d{2}"
-    r"(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?([+-]\d{2}:\d{2}(:\d{2})?)?)?\z"
+    r"(T\d{2}:\d{2}:\d{2}(\.\d+)?([+-]\d{2}:\d{2}(:\d{2})?)?)?\z"
 )
 
 # Rewrites of other ISO forms into that shape, applied in this order.
@@ -17,6 +17,7 @@ REWRITES = (
     (r"T(\d{2})(\d{2})(\d{2})(?!\d)", "T$1:$2:$3"),  # T120000
     (r"T(\d{2})(\d{2})(?=[+-]|\z)", "T$1:$2"),  # T1200
     (r"T(\d{2})(?=[+-]|\z)", "T$1:00"),  # T12
+    (r"T(\d{2}:\d{2})(?=[+-]|\z)", "T$1:00"),  # T12:00
     (r"(?<=:\d{2}),(?=\d)", "."),  # comma fraction
     (r"(T.*[+-]\d{2})(\d{2})\z", "$1:$2"),  # +0300
     (r"(T.*[+-]\d{2})\z", "$1:00"),  # +03
