@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillstream.functions.hashing import HashEmbedderFactory
-from quillstream.functions.ids import index_kind, topic_type
+from quillstream.functions.ids import index_kind, row_id, topic_type
 from quillstream.functions.text import analyze
 from quillstream.functions.times import parse_upload_time
 from quillstream.operators import chunking, embedding, index_state, outcomes, search
@@ -82,17 +82,28 @@ def index_view(rows: DataFrame) -> DataFrame:
     )
 
 
-def chunk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as an index: chunks with hash vectors, in the index of their topic."""
-    source = docs(spark, sf_dir).select(
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docs(spark, sf_dir).select(
         derived.topic_of(F.col("lang"), F.col("source")).alias("index_name"),
         F.col("doc_id").cast("string").alias("doc_id"),
         "lang",
-        "source",
         "text",
     )
-    rows = embedding.chunk_and_embed(source, HashEmbedderFactory(DIM))
-    return rows.where(F.col("chunk_id").isNotNull()).withColumn("row_id", F.concat_ws("_", "doc_id", "chunk_id"))
+
+
+def _with_row_id(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("row_id", row_id(F.col("doc_id"), F.col("chunk_id")))
+
+
+def text_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as an index without vectors, stored, as an index is: chunks in the index of their topic."""
+    return settle(_with_row_id(chunking.chunk_text(_texts(spark, sf_dir))))
+
+
+def chunk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with hash vectors."""
+    rows = embedding.chunk_and_embed(_texts(spark, sf_dir), HashEmbedderFactory(DIM))
+    return settle(_with_row_id(rows.where(F.col("chunk_id").isNotNull())))
 
 
 def vector_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,7 +499,7 @@ def _hits(df: DataFrame) -> DataFrame:
 
 
 def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hits(search.bm25_search(chunk_index(spark, sf_dir), benchmark_queries(spark, sf_dir), K))
+    return _hits(search.bm25_search(text_index(spark, sf_dir), benchmark_queries(spark, sf_dir), K))
 
 
 def knn_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -521,7 +532,7 @@ def hybrid_search_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filtered_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-text search over first chunks outside English."""
-    some = search.filter_index(chunk_index(spark, sf_dir), lang=["fr", "de", "es"], chunk_id=(None, 0))
+    some = search.filter_index(text_index(spark, sf_dir), lang=["fr", "de", "es"], chunk_id=(None, 0))
     return _hits(search.bm25_search(some, benchmark_queries(spark, sf_dir), K))
 
 
@@ -533,7 +544,7 @@ def lookup_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = chunk_index(spark, sf_dir).select("index_name", "row_id", "text")
+    rows = text_index(spark, sf_dir).select("index_name", "row_id", "text")
     return search.index_heads(rows, K).select("index_name", "row_id", text_md5(), "position")
 
 

@@ -5,7 +5,7 @@ Gives the same index as the streaming ingest of the same messages in arrival ord
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -48,6 +48,10 @@ class Replay:
         return live_rows(settle(log) if replace_document else log, self.deletes, replace_document)
 
     def outcomes(self) -> DataFrame:
+        # three branches look at the documents: parse them once
+        return replace(self, documents=settle(self.documents))._outcomes()
+
+    def _outcomes(self) -> DataFrame:
         return O.union_outcomes(
             O.rejected_outcomes(rejected(self.creations)),
             O.creation_outcomes(accepted(self.creations), self.registry),

@@ -33,12 +33,19 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if measure(df)[1] <= limit else df
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that `df` reads, by the statistics of its scans; runs nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(n).stats().sizeInBytes())) for n in range(leaves.size()))
+
+
 def spread(df: DataFrame, *unique_key: str) -> DataFrame:
-    """Give a small source as many partitions as there are cores; a source that has them already is not shuffled.
+    """Deal a small source out to all cores; a source with at least one full split per core is not shuffled.
 
-    The key has to be unique by row (not a document or index name), so that no partition gets a hot group.
+    A small file may have one row group, which one task would read and work on alone. The key has to be unique by row
+    (not a document or index name), so that no partition gets a hot group.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *unique_key)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df if source_bytes(df) >= cores * split else df.repartition(cores, *unique_key)

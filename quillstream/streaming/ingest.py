@@ -82,12 +82,12 @@ def apply_batch(messages: DataFrame, batch_id: int, log: ChangeLog, settings: In
     Creations take effect before documents and deletes come last for equal times, by the arrival order. Embedding
     runs once: outcomes are read back from the rows just written.
     """
-    messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
+    creations = validate_index_creations(decode_creations(messages.where(F.col("topic") == CREATIONS_TOPIC)))
+    deletions = validate_deletions(decode_deletions(messages.where(F.col("topic") == DELETIONS_TOPIC)))
+    documents = parsed_documents(messages.where(F.col("topic") == DOCUMENTS_TOPIC), settings)
+    # Each is used several times below; a lost block is parsed again from the source.
+    parsed = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (creations, deletions, documents)]
     try:
-        creations = validate_index_creations(decode_creations(messages.where(F.col("topic") == CREATIONS_TOPIC)))
-        deletions = validate_deletions(decode_deletions(messages.where(F.col("topic") == DELETIONS_TOPIC)))
-        documents = parsed_documents(messages.where(F.col("topic") == DOCUMENTS_TOPIC), settings)
-
         log.write("registry", batch_id, create_indices(log.registry(batch_id - 1), accepted(creations), settings.dim))
         registry = log.registry(batch_id)
         log.write("deletes", batch_id, accepted(deletions))
@@ -108,7 +108,8 @@ def apply_batch(messages: DataFrame, batch_id: int, log: ChangeLog, settings: In
         )
         log.commit(batch_id)
     finally:
-        messages.unpersist()
+        for df in parsed:
+            df.unpersist()
 
 
 def prepare(log: ChangeLog, settings: IngestSettings) -> None:
