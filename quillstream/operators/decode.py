@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.ids import CREATE_RANK, DELETE_RANK, DOCUMENT_RANK, arrival
 from ..schemas import CREATION_FIELDS, DELETION_FIELDS, DOCUMENT_FIELDS
@@ -16,44 +16,52 @@ JSON_OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1)}
 VARIANT_BYTES = 16_000_000
 
 
-def _kind(variant: Column) -> Column:
-    return (
-        F.when(variant.isNull(), F.lit("missing"))
-        .when(F.is_variant_null(variant), F.lit("null"))
-        .when(F.schema_of_variant(variant) == "STRING", F.lit("string"))
-        .otherwise(F.lit("other"))
-    )
-
-
 # Types other than string that a field of a long value is probed for.
 PROBES = ("double", "boolean", "map<string,string>", "array<string>")
 # Strings that a JSON reader takes for numbers.
 NUMBER_WORDS = ("NaN", "Infinity", "+Infinity", "-Infinity", "INF", "+INF", "-INF")
 
 
-def _long_parts(text: Column, fields: Sequence[str]) -> dict[str, Column]:
+_OPTIONS = "map(" + ", ".join(f"'{key}', '{value}'" for key, value in JSON_OPTIONS.items()) + ")"
+
+
+def _long_parts(fields: Sequence[str]) -> dict[str, str]:
     """What is needed to read a value too long for a variant; NULL, and not computed, for all others."""
-    long = F.octet_length(text) > VARIANT_BYTES
+    long = f"octet_length(_value) > {VARIANT_BYTES}"
 
-    def read(kind: str) -> Column:
-        return F.when(long, F.from_json(text, ", ".join(f"`{name}` {kind}" for name in fields), JSON_OPTIONS))
+    def read(kind: str) -> str:
+        schema = ", ".join(f"`{name}` {kind}" for name in fields)
+        return f"CASE WHEN {long} THEN from_json(_value, '{schema}', {_OPTIONS}) END"
 
-    parts = {"_long": read("string"), "_keys": F.when(long, F.json_object_keys(text))}
+    parts = {"_long": read("string"), "_keys": f"CASE WHEN {long} THEN json_object_keys(_value) END"}
     return parts | {f"_probe{n}": read(kind) for n, kind in enumerate(PROBES)}
 
 
-def _long_kind(name: str) -> Column:
-    text = F.col("_long")[name]
-    number = F.col("_probe0")[name].isNotNull() & ~text.isin(*NUMBER_WORDS)
-    other = number
-    for n in range(1, len(PROBES)):
-        other = other | F.col(f"_probe{n}")[name].isNotNull()
-    return (
-        F.when(~F.array_contains("_keys", name), F.lit("missing"))
-        .when(text.isNull(), F.lit("null"))
-        .when(other, F.lit("other"))
-        .otherwise(F.lit("string"))
-    )
+def _field(name: str) -> str:
+    """Kind and text of a field, from the variant or, for a long value, from its probes."""
+    variant, text = f"_json.`{name}`", f"_long.`{name}`"
+    words = ", ".join(f"'{word}'" for word in NUMBER_WORDS)
+    other = [f"(_probe0.`{name}` IS NOT NULL AND {text} NOT IN ({words}))"]
+    other += [f"_probe{n}.`{name}` IS NOT NULL" for n in range(1, len(PROBES))]
+    kind = f"""CASE
+      WHEN _keys IS NOT NULL THEN CASE
+        WHEN NOT array_contains(_keys, '{name}') THEN 'missing'
+        WHEN {text} IS NULL THEN 'null'
+        WHEN {" OR ".join(other)} THEN 'other'
+        ELSE 'string' END
+      WHEN {variant} IS NULL THEN 'missing'
+      WHEN is_variant_null({variant}) THEN 'null'
+      WHEN schema_of_variant({variant}) = 'STRING' THEN 'string'
+      ELSE 'other' END"""
+    value = f"CASE WHEN _keys IS NOT NULL THEN {text} ELSE try_variant_get({variant}, '$', 'string') END"
+    return f"named_struct('kind', {kind}, 'text', CASE WHEN {kind} = 'string' THEN {value} END) AS `{name}`"
+
+
+_STATUS = """CASE
+  WHEN coalesce(_values, 0) <> 1 THEN 'bad_json'
+  WHEN _json IS NOT NULL OR _keys IS NOT NULL THEN 'ok'
+  WHEN _object THEN 'bad_json'
+  ELSE 'not_object' END AS json_status"""
 
 
 def computed_once(df: DataFrame) -> DataFrame:
@@ -76,27 +84,15 @@ def decode_json(df: DataFrame, fields: Sequence[str], rank: int) -> DataFrame:
     text = F.col("value").cast("string")
     if dict(df.dtypes)["value"] == "binary":
         text = F.when(F.is_valid_utf8(text), text)
-    parsed = df.select(
-        *kept,
-        F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v struct<{kinds}>", JSON_OPTIONS)["v"].alias("_json"),
-        F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", JSON_OPTIONS)).alias("_values"),
-        F.startswith(F.regexp_replace(text, r"^[ \t\r\n]+", ""), F.lit("{")).alias("_object"),
-        *[part.alias(name) for name, part in _long_parts(text, fields).items()],
-    )
-    is_long = F.col("_keys").isNotNull()
-    status = (
-        F.when(F.coalesce(F.col("_values"), F.lit(0)) != 1, F.lit("bad_json"))
-        .when(F.col("_json").isNotNull() | is_long, F.lit("ok"))
-        .when(F.col("_object"), F.lit("bad_json"))
-        .otherwise(F.lit("not_object"))
+    parsed = df.select(*kept, text.alias("_value")).selectExpr(
+        *[f"`{name}`" for name in kept],
+        f"""from_json(concat('{{"v":', _value, '}}'), 'v struct<{kinds}>', {_OPTIONS}).v AS _json""",
+        f"size(from_json(concat('[', _value, ']'), 'array<string>', {_OPTIONS})) AS _values",
+        r"_value RLIKE '^[ \\t\\r\\n]*[{]' AS _object",
+        *[f"{part} AS {name}" for name, part in _long_parts(fields).items()],
     )
-    decoded = []
-    for name in fields:
-        variant = F.col("_json")[name]
-        kind = F.when(is_long, _long_kind(name)).otherwise(_kind(variant))
-        value = F.when(is_long, F.col("_long")[name]).otherwise(F.try_variant_get(variant, "$", "string"))
-        decoded.append(F.struct(kind.alias("kind"), F.when(kind == "string", value).alias("text")).alias(name))
-    return computed_once(parsed.select(*kept, arrival(rank).alias("arrival"), status.alias("json_status"), *decoded))
+    placed = parsed.withColumn("arrival", arrival(rank))
+    return computed_once(placed.selectExpr(*[f"`{name}`" for name in kept], "arrival", _STATUS, *map(_field, fields)))
 
 
 def decode_documents(df: DataFrame) -> DataFrame:

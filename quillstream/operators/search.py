@@ -7,6 +7,7 @@ Scores are rounded to six places before ranking, so that the order does not hang
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.arrow import matrix
+from ..functions.arrow import expand, matrix
 from ..functions.text import analyze
 from ..plans.sizing import broadcast_if_small, measure
 from ..session import settle
@@ -51,12 +52,32 @@ def analyzed(idx: DataFrame) -> DataFrame:
 def postings(idx: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Term counts of each row: `index_name, row_id, n_terms, term, tf`; only for `terms` where given.
 
-    Write the result sorted by term to keep it as an inverted index.
+    All tokens of a row are at hand where the row is, so they are counted there and nothing is shuffled. Write the
+    result sorted by term to keep it as an inverted index.
     """
-    found = analyzed(idx).select("index_name", "row_id", "n_terms", F.explode("tokens").alias("term"))
-    if terms is not None:
-        found = found.join(broadcast_if_small(terms.select("term").distinct()), "term", "left_semi")
-    return found.groupBy("index_name", "row_id", "n_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
+    keep = ["index_name", "row_id", "n_terms"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[int] = []
+            found: list[str] = []
+            counts: list[int] = []
+            for row, tokens in enumerate(batch.column("tokens")):
+                tally = Counter(tokens.as_py())
+                rows.extend([row] * len(tally))
+                found.extend(tally.keys())
+                counts.extend(tally.values())
+            yield expand(batch, keep, rows, {"term": pa.array(found, pa.string()), "tf": pa.array(counts, pa.int64())})
+
+    tokens = analyzed(idx).select(*keep, "tokens")
+    schema = T.StructType(
+        [tokens.schema[name] for name in keep] + [T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())]
+    )
+    counted = tokens.mapInArrow(count, schema)
+    if terms is None:
+        return counted
+    wanted = broadcast_if_small(terms.select("term").distinct())
+    return counted.join(wanted, "term", "left_semi").select(*keep, "term", "tf")
 
 
 def text_statistics(idx: DataFrame) -> DataFrame:

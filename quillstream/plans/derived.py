@@ -13,6 +13,8 @@ Nothing is sampled: every row of `documents`, `pages`, `conversations` and `labe
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import CREATIONS_TOPIC, DELETIONS_TOPIC, DOCUMENTS_TOPIC
@@ -24,7 +26,9 @@ STEP = 1_000
 REQUEST_TIME = "2025-10-22T12:00:00Z"
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; the plan is kept, as reading the schema takes a job each time."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
