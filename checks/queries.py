@@ -335,7 +335,8 @@ def chunks_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def empty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of low quality with every word taken out, so that white space is all they hold."""
-    labelled = configure(spark) and derived.labelled_documents(spark, sf_dir)
+    configure(spark)
+    labelled = derived.labelled_documents(spark, sf_dir)
     blanked = labelled.select(
         "doc_id",
         F.when(F.col("quality") == 0, F.regexp_replace("text", r"\S", " ")).otherwise(F.col("text")).alias("text"),
@@ -512,7 +513,7 @@ def knn_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    queries = settle(centroids(spark, sf_dir))
+    queries = centroids(spark, sf_dir)
     exact = search.knn_search(vector_index(spark, sf_dir), queries, K, DIM)
     near = search.with_lsh(vector_index(spark, sf_dir), DIM, tables=4, bits=6)
     found = search.recall(exact, search.knn_lsh(near, queries, K, DIM, tables=4, bits=6))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.ids import index_kind, row_id
-from ..plans.sizing import broadcast_if_small
+from ..plans.sizing import BROADCAST_BYTES, broadcast_if_small, measure
 from ..schemas import INDEX_ROW
+from ..session import settle
 
 DOC_KEY = ["index_name", "doc_id"]
 
@@ -50,6 +51,31 @@ def latest_rows(log: DataFrame) -> DataFrame:
     return log.withColumn("_n", F.row_number().over(newest_first)).where("_n = 1").drop("_n")
 
 
+def overwritten(log: DataFrame) -> DataFrame:
+    """Rows written more than once, with their last write; reads keys only, no text and no vector."""
+    return (
+        log.groupBy("index_name", "row_id")
+        .agg(F.max("arrival").alias("_last"), F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1")
+        .drop("_n")
+    )
+
+
+def latest_stored_rows(log: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The same as `latest_rows`, for a log that is a stored table and can be read twice.
+
+    While few rows have been overwritten, their keys are broadcast, and texts and vectors are not shuffled at all.
+    """
+    again = settle(overwritten(log))
+    if measure(again)[1] > limit:
+        return latest_rows(log)
+    return (
+        log.join(F.broadcast(again), ["index_name", "row_id"], "left")
+        .where(F.col("_last").isNull() | (F.col("arrival") == F.col("_last")))
+        .select(*log.columns)
+    )
+
+
 def last_deletes(deletes: DataFrame) -> DataFrame:
     return deletes.groupBy(*DOC_KEY).agg(F.max("arrival").alias("_deleted"))
 

@@ -128,11 +128,11 @@ def term_weights(found: DataFrame, statistics: DataFrame, terms: DataFrame) -> D
 
 def _query_blocks(queries: DataFrame, dim: int) -> list[DataFrame]:
     """Queries of the right dimension, cut into blocks small enough for the driver and for every task."""
-    usable = queries.where(F.size("embedding") == dim).select("query_id", "embedding")
+    # settled, as a model may have made the vectors
+    usable = settle(queries.where(F.size("embedding") == dim).select("query_id", "embedding"))
     blocks = max(1, -(-measure(usable)[1] // QUERY_BYTES))
     if blocks == 1:
         return [usable]
-    usable = settle(usable)
     return [usable.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block) for block in range(blocks)]
 
 

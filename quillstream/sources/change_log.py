@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.ids import index_kind
-from ..operators.index_state import DOC_KEY, apply_deletes, latest_rows, stored
+from ..operators.index_state import DOC_KEY, apply_deletes, last_writes, latest_stored_rows, stored
 from ..schemas import DELETES, INDEX_ROW, OUTCOME, REGISTRY
 
 _BATCH = T.StructField("batch_id", T.LongType())
@@ -69,7 +69,9 @@ class ChangeLog:
         return self._read(table).where(F.col("batch_id") <= (self._last("commits") if upto is None else upto))
 
     def batch(self, table: str, batch_id: int) -> DataFrame:
-        return self._read(table).where(F.col("batch_id") == batch_id)
+        """One batch, read from its own folder, however many others there are."""
+        df = self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.path}/{table}/batch_id={batch_id}")
+        return df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
     def registry(self, upto: int | None = None) -> DataFrame:
         """One row per index, the earliest request winning; a request later in time can be in an earlier batch."""
@@ -89,10 +91,10 @@ class ChangeLog:
         if base >= 0:
             parts.append(self.batch("snapshot", base).select(*columns))
         rows = reduce(DataFrame.unionByName, parts)
-        live = apply_deletes(latest_rows(rows), self.read("deletes"))
+        live = apply_deletes(latest_stored_rows(rows), self.read("deletes"))
         if replace_document:
-            written = stored(self.read("rows")).groupBy(*DOC_KEY).agg(F.max("arrival").alias("_written"))
-            live = live.join(written, DOC_KEY).where(F.col("arrival") == F.col("_written")).select(*columns)
+            # the last write of a document is in the snapshot or after it, unless all of the document was deleted
+            live = live.join(last_writes(rows), DOC_KEY).where(F.col("arrival") == F.col("_written")).select(*columns)
         return live
 
     def compact(self, files: int | None = None) -> None:

@@ -7,12 +7,13 @@ from quillstream.operators.index_state import (
     index_outcomes,
     index_stats,
     latest_rows,
-    live_rows,
+    latest_stored_rows,
     stale_chunks,
 )
 from quillstream.operators.outcomes import outcome_summary
 from quillstream.operators.routing import all_system_ready, create_indices, seed_system_indices
 from quillstream.plans.replay import replay
+from quillstream.session import settle
 from quillstream.sources.change_log import ChangeLog
 from quillstream.sources.messages import MessageSource
 from quillstream.streaming.ingest import IngestSettings, Sources, apply_batch, backfill, prepare
@@ -182,6 +183,15 @@ def test_batch_written_twice_or_half_changes_nothing(spark, tmp_path):
     assert shown(log.live()) == set()
 
 
+def test_stored_log_is_not_shuffled_while_few_rows_are_overwritten(spark):
+    log = settle(replay(*all_messages(spark), SETTINGS).rows().where("chunk_id IS NOT NULL"))
+    wanted = shown(latest_rows(log))
+    few, many = latest_stored_rows(log), latest_stored_rows(log, limit=0)
+    assert shown(few) == shown(many) == wanted
+    assert "hashpartitioning" not in few._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in many._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_row_is_cut_before_the_shuffle(spark):
     state = replay(*all_messages(spark), SETTINGS)
     plan = latest_rows(state.rows())._jdf.queryExecution().executedPlan().toString()
