@@ -198,7 +198,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = validate_documents(_documents(spark, sf_dir)).withColumn("n_chars", F.length("text"))
+    checked = validate_documents(_documents(spark, sf_dir)).withColumn("n_chars", F.length("text").cast("bigint"))
     return _checked_view(checked, "doc_id", "user_id", "index_name", "source_type", "upload_time", "n_chars")
 
 

@@ -8,7 +8,7 @@ from quillstream.operators.decode import VARIANT_BYTES, decode_creations, decode
 from quillstream.operators.validate import validate_deletions, validate_documents, validate_index_creations
 from quillstream.functions.times import parse_upload_time
 
-README_SAMPLE = {
+INCOMPLETE = {
     "doc_id": "123",
     "user_id": "1",
     "topic_type": "user",
@@ -21,7 +21,7 @@ README_SAMPLE = {
 # value, errors, errors with the user rule (None: the same)
 DOCUMENTS = [
     (changed(), [], None),
-    (json.dumps(README_SAMPLE), ["topic_name:prefix", "document_url:missing", "upload_time:missing"], None),
+    (json.dumps(INCOMPLETE), ["topic_name:prefix", "document_url:missing", "upload_time:missing"], None),
     (changed(doc_id=12), ["doc_id:string_type"], None),
     (changed(doc_id=None), ["doc_id:string_type"], None),
     (changed(doc_id=...), ["doc_id:missing"], None),
