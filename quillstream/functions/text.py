@@ -10,6 +10,7 @@ WHITE_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u20
 # Characters that end a sentence when white space follows.
 SENTENCE_END = ".!?"
 
+# Letter and digit runs.
 TOKEN = r"[\p{L}\p{N}]+"
 
 

@@ -7,7 +7,6 @@ Scores are rounded to six places before ranking, so that the order does not hang
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.arrow import expand, matrix
-from ..functions.text import analyze
+from ..functions.text import TOKEN, analyze
 from ..plans.sizing import broadcast_if_small, measure
 from ..session import settle
 
@@ -59,15 +58,15 @@ def postings(idx: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[int] = []
-            found: list[str] = []
-            counts: list[int] = []
-            for row, tokens in enumerate(batch.column("tokens")):
-                tally = Counter(tokens.as_py())
-                rows.extend([row] * len(tally))
-                found.extend(tally.keys())
-                counts.extend(tally.values())
-            yield expand(batch, keep, rows, {"term": pa.array(found, pa.string()), "tf": pa.array(counts, pa.int64())})
+            tokens = batch.column("tokens")
+            if not len(tokens.flatten()):
+                continue
+            coded = tokens.flatten().dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(tokens)), tokens.value_lengths().to_numpy(zero_copy_only=False))
+            pairs, tf = np.unique(row * len(coded.dictionary) + codes, return_counts=True)
+            rows, terms = np.divmod(pairs, len(coded.dictionary))
+            yield expand(batch, keep, rows, {"term": coded.dictionary.take(pa.array(terms)), "tf": pa.array(tf, pa.int64())})
 
     tokens = analyzed(idx).select(*keep, "tokens")
     schema = T.StructType(
@@ -82,8 +81,11 @@ def postings(idx: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 
 def text_statistics(idx: DataFrame) -> DataFrame:
     """Rows and mean length of each index."""
+    lengths = idx.select("index_name", F.regexp_count(F.lower("text"), F.lit(TOKEN)).alias("n_terms"))
     return (
-        analyzed(idx).groupBy("index_name").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("n_terms").alias("mean_terms"))
+        lengths.where("n_terms > 0")
+        .groupBy("index_name")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.avg("n_terms").alias("mean_terms"))
     )
 
 
