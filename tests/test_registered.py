@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import difference, oracle
+from checks.oracle import SQL
+from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # the rest runs with `python -m checks.compare`
@@ -11,7 +13,7 @@ NAMES = ("decode_messages", "parse_upload_time", "chunk_documents_small", "index
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == SQL.keys()
 
 
 @pytest.mark.parametrize("name", NAMES)
