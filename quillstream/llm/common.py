@@ -34,8 +34,9 @@ def text_of(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 
 def row_key(id_column: str = "doc_id") -> Column:
-    """Tells rows apart that repeat a doc_id with another text; null and empty text differ."""
-    return F.xxhash64(F.col(id_column).cast("bigint"), F.col("text"), F.col("text").isNull())
+    """Tells rows apart that repeat a doc_id with another text; null and empty text differ. Texts of 64 equal bits and one doc_id do not occur by chance."""
+    text = F.col("text")
+    return F.concat_ws(":", F.col(id_column).cast("string"), F.hex(F.xxhash64(text, text.isNull())))
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:

@@ -1,3 +1,13 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+# Lower-cases A-Z only: ASCII runs are lowered, the rest is left.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL = {
+    "op3_exact_dedup": f"""
+        WITH named AS (SELECT doc_id, {LOWER} AS body FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+        FROM named WINDOW same AS (PARTITION BY body)
+    """,
+}
