@@ -146,6 +146,11 @@ class Merges:
 
     def words_of(self, piece: str) -> list[str]:
         """Words of a piece without white space, after normalisation."""
+        if piece.isascii():
+            if piece.isalpha():
+                return [piece.lower()]
+            if piece[:-1].isalpha() and piece[-1] in ".,":  # the commonest other shapes, without a regex
+                return [piece[:-1].lower(), piece[-1]]
         if not piece.isascii():
             if any(unicodedata.category(char) == "Cn" for char in piece):
                 # Python and the library may be of different Unicode versions about these characters
@@ -156,7 +161,7 @@ class Merges:
 
     def encode_pieces(self, pieces: Iterable[str]) -> dict[str, np.ndarray]:
         """Ids of each piece; words that several pieces share are encoded once."""
-        cut = {piece: self._special_words(piece) for piece in pieces}
+        cut = {piece: self.special_words(piece) for piece in pieces}
         unique = list({word for words in cut.values() for word in words if isinstance(word, str)})
         ids = dict(zip(unique, self.encode_words([word.encode() for word in unique])))
         out = {}
@@ -165,7 +170,7 @@ class Merges:
             out[piece] = parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
         return out
 
-    def _special_words(self, piece: str) -> list[str | int]:
+    def special_words(self, piece: str) -> list[str | int]:
         if self.special_pattern is None or "<" not in piece:
             return self.words_of(piece)
         words: list[str | int] = []
