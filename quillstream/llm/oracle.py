@@ -3,6 +3,8 @@
 # Lower-cases A-Z only: ASCII runs are lowered, the rest is left.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+WORDS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 SQL = {
     "op3_exact_dedup": f"""
         WITH named AS (SELECT doc_id, {LOWER} AS body FROM documents)
@@ -10,4 +12,23 @@ SQL = {
                doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM named WINDOW same AS (PARTITION BY body)
     """,
+    "op8_decontaminate": f"""
+        WITH item AS (SELECT item_id, {WORDS} AS words FROM benchmark),
+        size AS (SELECT item_id, words, least(13, len(words)) AS n FROM item WHERE len(words) > 0),
+        gram AS (SELECT DISTINCT item_id, n, array_to_string(words[i : i + n - 1], ' ') AS gram
+                 FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM size)),
+        doc AS (SELECT doc_id, {WORDS} AS words FROM documents),
+        spot AS (SELECT doc_id, n, i, array_to_string(words[i : i + n - 1], ' ') AS gram
+                 FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+                       FROM doc, (SELECT DISTINCT n FROM gram) WHERE len(words) >= n)),
+        found AS (SELECT doc_id, item_id, spot.n, i FROM spot JOIN gram USING (gram) WHERE spot.n = gram.n),
+        hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+                FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+        item_list AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS listed
+                      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id)
+        SELECT doc.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(listed, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN item_list USING (doc_id)
+    """,
 }
