@@ -31,4 +31,17 @@ SQL = {
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
         FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN item_list USING (doc_id)
     """,
+    "op9_chat_format": r"""
+        WITH talk AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(t, r)),
+        counted AS (SELECT *, length(role) + length(text) + 20
+                    + length(regexp_replace(role || text, '[^\\<]', '', 'g')) AS marked FROM talk)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(marked)::BIGINT AS formatted_chars
+        FROM counted GROUP BY conv_id
+    """,
 }

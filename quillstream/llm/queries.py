@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, exact_dedup, simhash, token_files
+from . import bpe, chat, decontaminate, exact_dedup, simhash, token_files
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,9 +27,15 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    log = chat.log_of(rows.unionByName(chat.control_conversation(spark)))
+    return chat.digests(chat.format_conversations(log))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), TOKENIZER)
     return token_files.read_token_files(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_bpe, op7_simhash, op8_decontaminate, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_bpe, op7_simhash, op8_decontaminate, op9_chat_format, op10_token_files)}
