@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, exact_dedup, simhash, token_files
+from . import bpe, chat, decontaminate, exact_dedup, pii, simhash, token_files
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -15,6 +15,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER, texts=False, digests=True)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,4 +42,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_bpe, op7_simhash, op8_decontaminate, op9_chat_format, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_exact_dedup, op6_bpe, op7_simhash, op8_decontaminate, op9_chat_format, op10_token_files)}
