@@ -1,10 +1,18 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from .licenses import AGREEING, LEAST_SCORE, RARE_WORDS, TEMPLATES
+
 # Lower-cases A-Z only: ASCII runs are lowered, the rest is left.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 WORDS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+NOTICES = ", ".join(
+    f"({i}, '{t.label}', {len(t.words)}, {t.phrase[0]}, {t.phrase[1]}, {t.base}, {at}, '{word}')"
+    for i, t in enumerate(TEMPLATES)
+    for at, word in enumerate(t.words)
+)
+
 SQL = {
     "op3_exact_dedup": f"""
         WITH named AS (SELECT doc_id, {LOWER} AS body FROM documents)
@@ -44,4 +52,27 @@ SQL = {
                sum(marked)::BIGINT AS formatted_chars
         FROM counted GROUP BY conv_id
     """,
+    "op4_licenses": f"""
+        WITH template(t, label, size, phrase_at, phrase_size, base, nr, word) AS (VALUES {NOTICES}),
+        file AS (SELECT row_number() OVER () AS doc, doc_id, {WORDS} AS words FROM documents),
+        spot AS (SELECT doc, unnest(words) AS word, unnest(range(len(words))) AS pos FROM file),
+        known AS (SELECT spot.* FROM spot SEMI JOIN template USING (word)),
+        frequency AS (SELECT word, count(DISTINCT doc) AS df FROM known GROUP BY word),
+        ranked AS (SELECT t, word, row_number() OVER (PARTITION BY t ORDER BY df IS NULL, df, word) AS nth
+                   FROM (SELECT DISTINCT t, word FROM template) LEFT JOIN frequency USING (word)),
+        posting AS (SELECT template.* FROM template JOIN ranked USING (t, word) WHERE nth <= if(base, 1, {RARE_WORDS})),
+        aligned AS (SELECT doc, t, pos - nr AS place FROM known JOIN posting USING (word)
+                    GROUP BY doc, t, pos - nr, base HAVING count(*) >= if(base, 1, {AGREEING})),
+        checked AS (SELECT aligned.doc, t, label, base, aligned.place + phrase_at AS place, count(known.word) / size AS share,
+                           count(known.word) FILTER (nr BETWEEN phrase_at AND phrase_at + phrase_size - 1) AS phrase_words, phrase_size
+                    FROM aligned JOIN template USING (t)
+                    LEFT JOIN known ON known.doc = aligned.doc AND known.pos = place + nr AND known.word = template.word
+                    GROUP BY aligned.doc, t, label, base, place, phrase_at, phrase_size, size),
+        find AS (SELECT * FROM checked WHERE phrase_words = phrase_size AND share >= {LEAST_SCORE})
+        SELECT doc_id, len(words) AS n_words, count(*) FILTER (base) AS n_base, min(place) FILTER (base) AS first_word,
+               max(place) FILTER (base) AS last_word,
+               coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+               coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0) AS score
+        FROM file LEFT JOIN find USING (doc) GROUP BY doc, doc_id, words
+    """,
 }

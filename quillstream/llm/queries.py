@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, exact_dedup, langid, pii, simhash, token_files
+from . import bpe, chat, decontaminate, exact_dedup, langid, licenses, pii, simhash, token_files
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
@@ -46,4 +50,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_exact_dedup, op5_language, op6_bpe, op7_simhash, op8_decontaminate, op9_chat_format, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_exact_dedup, op4_licenses, op5_language, op6_bpe, op7_simhash, op8_decontaminate, op9_chat_format, op10_token_files)}
