@@ -13,7 +13,32 @@ NOTICES = ", ".join(
     for at, word in enumerate(t.words)
 )
 
+COUNTERS = {
+    "space-1": r"[^\x20\x09-\x0D]+",
+    "alnum-1": r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+",
+    "alnum-2": r"[0-9]|[^\x00-\x40\x5B-\x60\x7B-\x7F]+",
+}
+
+
+def _tokens(text: str, tokenizer: str) -> str:
+    return f"len(regexp_extract_all(coalesce({text}, ''), '{COUNTERS[tokenizer]}'))"
+
+
+CLEANED = "regexp_replace(text, '[0-9]+', '', 'g')"
+
 SQL = {
+    "op1_token_counts": f"""
+        WITH mark AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
+        doc AS (SELECT documents.*, coalesce(quality = 0, false) AS poor FROM documents LEFT JOIN mark USING (doc_id)
+                WHERE coalesce(toxic, 0) <> 1),
+        counted AS (
+            SELECT source, lang, 'space-1' AS tokenizer,
+                   if(poor, {_tokens(CLEANED, "space-1")}, {_tokens("text", "space-1")}) AS n FROM doc
+            UNION ALL SELECT source, lang, 'alnum-1', {_tokens("text", "alnum-1")} FROM doc WHERE NOT poor
+            UNION ALL SELECT source, lang, 'alnum-2', {_tokens(CLEANED, "alnum-2")} FROM doc WHERE poor)
+        SELECT source, lang, tokenizer, count(*) AS n_docs, sum(n)::BIGINT AS n_tokens
+        FROM counted GROUP BY source, lang, tokenizer
+    """,
     "op3_exact_dedup": f"""
         WITH named AS (SELECT doc_id, {LOWER} AS body FROM documents)
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

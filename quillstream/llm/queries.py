@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, exact_dedup, langid, licenses, pii, simhash, token_files
+from quillstream.session import checkpoint_folder
+
+from . import bpe, chat, decontaminate, exact_dedup, langid, licenses, pii, simhash, token_counts, token_files
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +27,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER, texts=False, digests=True)
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup = token_counts.TokenRollup(spark, f"{checkpoint_folder(spark).rstrip('/')}/rollup-{uuid.uuid4().hex}")
+    return token_counts.recount(rollup, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -50,4 +59,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_exact_dedup, op4_licenses, op5_language, op6_bpe, op7_simhash, op8_decontaminate, op9_chat_format, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_pii, op3_exact_dedup, op4_licenses, op5_language, op6_bpe, op7_simhash, op8_decontaminate, op9_chat_format, op10_token_files)}
