@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quillstream.functions.arrow import expand
 from quillstream.session import settle
 
 from .common import drop_rows, ints, keep_rows, row_key, rows_of, small, text_of
@@ -93,31 +94,38 @@ def fingerprints(docs: DataFrame, hash_of: Callable = fingerprint) -> DataFrame:
 
 
 def _chunks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Chunks of the texts of `wanted(row_key)`; a text without bytes has one chunk too."""
+    """Chunks of the texts of wanted(row_key, first_key, salt, is_first); a text without bytes has one chunk too."""
+    kept = ["row_key", "first_key", "salt", "is_first"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
-            keys, numbers, parts = [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            rows, numbers, parts = [], [], []
+            for row, text in enumerate(batch.column("text")):
                 data = normalised(text.as_py())
                 for at in range(0, max(1, len(data)), COMPARED_BYTES):
-                    keys.append(key)
+                    rows.append(row)
                     numbers.append(at // COMPARED_BYTES)
                     parts.append(data[at : at + COMPARED_BYTES])
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), ints(numbers), pa.array(parts, pa.binary())], names=["row_key", "chunk", "part"])
+            yield expand(batch, kept, rows, {"chunk": ints(numbers), "part": pa.array(parts, pa.binary())})
 
     keyed = docs.select(row_key().alias("row_key"), F.coalesce("text", F.lit("")).alias("text"))
-    return keyed.join(small(wanted), "row_key", "left_semi").mapInArrow(run, "row_key string, chunk bigint, part binary")
+    schema = "row_key string, first_key string, salt bigint, is_first boolean, chunk bigint, part binary"
+    return keyed.join(small(wanted), "row_key").select(*kept, "text").mapInArrow(run, schema)
 
 
 def _same_as_first(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """row_key of the members(row_key, first_key, salt) whose text is that of their group's first, by comparing chunks."""
-    keys = settle(members.select("row_key").union(members.select("first_key")).distinct())
-    chunks = settle(_chunks(docs, keys).dropDuplicates(["row_key", "chunk"]))
+    """row_key of the members(row_key, first_key, salt) whose text is that of their group's first, by comparing chunks.
+
+    The first one's chunks go to each salt of its group, so members of one group are compared in many tasks; each chunk is
+    shuffled once.
+    """
+    own = members.select("row_key", "first_key", "salt", F.lit(False).alias("is_first"))
     firsts = members.select("first_key", "salt").distinct()
-    theirs = firsts.join(chunks.withColumnRenamed("row_key", "first_key"), "first_key").withColumnRenamed("part", "first_part")
-    own = members.join(chunks, "row_key")
-    compared = own.join(theirs, ["first_key", "salt", "chunk"], "left")
+    wanted = settle(own.union(firsts.select(F.col("first_key").alias("row_key"), "first_key", "salt", F.lit(True))))
+    chunks = settle(_chunks(docs, wanted))
+    at = ["first_key", "salt", "chunk"]
+    theirs = chunks.filter("is_first").groupBy(*at).agg(F.first("part").alias("first_part"))
+    compared = chunks.filter("not is_first").join(theirs, at, "left")
     return compared.groupBy("row_key").agg(F.min(F.coalesce(F.col("part") == F.col("first_part"), F.lit(False))).alias("same")).filter("same")
 
 
