@@ -54,6 +54,7 @@ def _field(name: str) -> str:
       WHEN schema_of_variant({variant}) = 'STRING' THEN 'string'
       ELSE 'other' END"""
     value = f"CASE WHEN _keys IS NOT NULL THEN {text} ELSE try_variant_get({variant}, '$', 'string') END"
+    kind = f"CASE WHEN json_status = 'ok' THEN {kind} ELSE 'missing' END"
     return f"named_struct('kind', {kind}, 'text', CASE WHEN {kind} = 'string' THEN {value} END) AS `{name}`"
 
 
@@ -92,7 +93,9 @@ def decode_json(df: DataFrame, fields: Sequence[str], rank: int) -> DataFrame:
         *[f"{part} AS {name}" for name, part in _long_parts(fields).items()],
     )
     placed = parsed.withColumn("arrival", arrival(rank))
-    return computed_once(placed.selectExpr(*[f"`{name}`" for name in kept], "arrival", _STATUS, *map(_field, fields)))
+    judged = placed.selectExpr("*", _STATUS)
+    # a value that is not one whole object has no fields, whatever part of it could be read
+    return computed_once(judged.selectExpr(*[f"`{name}`" for name in kept], "arrival", "json_status", *map(_field, fields)))
 
 
 def decode_documents(df: DataFrame) -> DataFrame:

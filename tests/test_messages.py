@@ -138,6 +138,20 @@ TIMES = [
     ("2025-10-22", "2025-10-22 00:00:00"),
     ("2025-10-22T12", "2025-10-22 12:00:00"),
     ("2025-10-22T12:30", "2025-10-22 12:30:00"),
+    ("2025-W43-3", "2025-10-22 00:00:00"),
+    ("2025W433", "2025-10-22 00:00:00"),
+    ("2025-W43", "2025-10-20 00:00:00"),
+    ("2020W537T1200+03", "2021-01-03 09:00:00"),
+    ("2025-10-22T12:00:00+19:00", "2025-10-21 17:00:00"),
+    ("2025-10-22T12:00:00+23:59", "2025-10-21 12:01:00"),
+    ("2025-10-22T12:00:00-030000,5", "2025-10-22 15:00:00.5"),
+    ("2025-10-22T12:00:00+03:75", "2025-10-22 07:45:00"),
+    ("2025-10-22T12:00:00+24:00", None),
+    ("2025-W53-1", None),
+    ("2025-W433", None),
+    ("2025W43-3", None),
+    ("2025-W43-0", None),
+    ("0000-01-01", None),
     ("bad", None),
     ("", None),
     ("2025", None),
@@ -158,3 +172,13 @@ def test_upload_times(spark):
     found = df.select("n", parse_upload_time(F.col("t")).cast("string").alias("at")).orderBy("n").collect()
     for (raw, wanted), row in zip(TIMES, found, strict=True):
         assert (row["at"] or "").rstrip("0") == (wanted or "").rstrip("0"), raw
+
+
+def test_a_broken_value_has_no_fields_at_any_length(spark):
+    whole = changed(text="x" * 20)
+    long = changed(text="x" * (VARIANT_BYTES + 1))
+    values = [whole, whole + " 1", long, long + " 1", "[" + whole + "]", "[" + long + "]"]
+    rows = decode_documents(envelope(spark, "d", values)).orderBy("offset")
+    found = [(r["json_status"], r["doc_id"]["kind"], r["doc_id"]["text"]) for r in rows.collect()]
+    good = ("ok", "string", json.loads(whole)["doc_id"])
+    assert found == [good, ("bad_json", "missing", None), good, ("bad_json", "missing", None), ("not_object", "missing", None), ("not_object", "missing", None)]
