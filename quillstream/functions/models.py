@@ -6,7 +6,8 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-Embedder = Callable[[list[str]], Sequence[Sequence[float]]]
+# A call gives the vectors in the order of the texts, or items {"index": i, "embedding": [...]} in any order.
+Embedder = Callable[[list[str]], Sequence[Sequence[float]] | Sequence[dict]]
 
 
 class TransportError(Exception):
@@ -31,16 +32,18 @@ class RetryPolicy:
         raise ValueError("a retry policy needs at least one try")
 
 
-def in_index_order(items: Sequence[dict]) -> list[Sequence[float]]:
-    """Vectors of a model response `[{"index": i, "embedding": [...]}, ...]`, by index."""
-    return [item["embedding"] for item in sorted(items, key=lambda item: item["index"])]
+def in_index_order(items: Sequence) -> Sequence[Sequence[float]]:
+    """Vectors of a model response: items are ordered by their index, bare vectors are in order already."""
+    if len(items) and isinstance(items[0], dict):
+        return [item["embedding"] for item in sorted(items, key=lambda item: item["index"])]
+    return items
 
 
 def embed_document(texts: list[str], embed: Embedder, batch: int, retry: RetryPolicy) -> list[Sequence[float]]:
     """Vectors of all texts of one document, or an error: a document is embedded whole or not at all."""
     vectors: list[Sequence[float]] = []
     for at in range(0, len(texts), batch):
-        vectors.extend(retry.call(embed, texts[at : at + batch]))
+        vectors.extend(in_index_order(retry.call(embed, texts[at : at + batch])))
     if len(vectors) != len(texts):
         raise ValueError(f"{len(vectors)} vectors for {len(texts)} texts")
     return vectors

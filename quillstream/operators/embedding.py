@@ -132,32 +132,37 @@ def chunk_and_embed(
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
-def check_dim(df: DataFrame, dim: int) -> DataFrame:
-    """Mark rows whose vector has another dimension than the index; earlier errors stay."""
+def check_dim(df: DataFrame, dim: int | str) -> DataFrame:
+    """Mark rows whose vector has another dimension than the index, given as a number or as the column that holds it;
+    earlier errors stay."""
+    wanted = F.col(dim) if isinstance(dim, str) else F.lit(dim)
     wrong = F.concat(F.lit("dimension:"), F.size("embedding").cast("string"))
     return df.withColumn(
         "error",
-        F.coalesce("error", F.when(F.col("embedding").isNotNull() & (F.size("embedding") != dim), wrong)),
+        F.coalesce("error", F.when(F.col("embedding").isNotNull() & (F.size("embedding") != wanted), wrong)),
     )
 
 
 def dim_report(rows: DataFrame, registry: DataFrame) -> DataFrame:
-    """Rows by index and vector dimension, beside the dimension the index was made for."""
-    counts = rows.groupBy("index_name", F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Vectors by index and dimension, refused ones too, beside the dimension the index was made for."""
+    counts = rows.where(F.col("embedding").isNotNull()).groupBy("index_name", F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n_rows"))
     wanted = registry.select("index_name", F.col("dim").alias("index_dim"))
     return counts.join(wanted, "index_name", "left").withColumn("matches", F.col("dim") == F.col("index_dim"))
 
 
-def embedding_batches(chunks: DataFrame, batch_size: int = EMBEDDING_BATCH, key: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Which model call each chunk falls in: calls by document, with their first and last chunk."""
-    return (
-        chunks.withColumn("batch_no", F.floor(F.col("chunk_id") / batch_size).cast("int"))
-        .groupBy(*key, "batch_no")
-        .agg(
-            F.count(F.lit(1)).alias("n_texts"),
-            F.min("chunk_id").alias("first_chunk"),
-            F.max("chunk_id").alias("last_chunk"),
-        )
+def calls(recorded: DataFrame, key: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Model calls by document, from chunk rows with the size of their call (`n_texts`) and their place in it: the number
+    of the call, its texts, and its first and last chunk. A call is named by its first chunk."""
+    found = recorded.groupBy(*key, (F.col("chunk_id") - F.col("place")).alias("first_chunk"), "n_texts").agg(
+        F.max("chunk_id").alias("last_chunk"), F.count(F.lit(1)).alias("_rows")
+    )
+    in_order = Window.partitionBy(*key).orderBy("first_chunk")
+    return found.select(
+        *key,
+        (F.row_number().over(in_order) - 1).alias("batch_no"),
+        F.when(F.col("_rows") == F.col("n_texts"), F.col("n_texts").cast("bigint")).alias("n_texts"),
+        "first_chunk",
+        "last_chunk",
     )
 
 

@@ -10,7 +10,7 @@ from quillstream.operators.embedding import (
     complete_documents,
     dim_report,
     embed,
-    embedding_batches,
+    calls,
     order_by_index,
 )
 
@@ -123,14 +123,27 @@ def test_dimension_check_and_report(spark):
     )
     assert sorted(str(r["error"]) for r in check_dim(rows, 2).collect()) == ["None", "dimension:1", "embedding:X"]
     registry = spark.createDataFrame([("i", 2)], "index_name string, dim int")
-    report = {r["dim"]: (r["n_rows"], r["matches"]) for r in dim_report(rows.where("embedding IS NOT NULL"), registry).collect()}
+    assert sorted(str(r["error"]) for r in check_dim(rows.withColumn("own", F.lit(1)), "own").collect()) == ["None", "dimension:2", "embedding:X"]
+    report = {r["dim"]: (r["n_rows"], r["matches"]) for r in dim_report(rows, registry).collect()}
     assert report == {2: (1, True), 1: (1, False)}
 
 
 def test_batches_by_document(spark):
-    chunks = spark.range(25).select(F.lit("a").alias("doc_id"), F.col("id").cast("int").alias("chunk_id"))
-    rows = embedding_batches(chunks, 10).orderBy("batch_no").collect()
-    assert [(r["n_texts"], r["first_chunk"], r["last_chunk"]) for r in rows] == [(10, 0, 9), (10, 10, 19), (5, 20, 24)]
+    """The model is called with ten texts of one document at most, and its answers are put in order."""
+    docs = spark.createDataFrame([("a", "w. " * 25), ("b", "w. " * 3)], "doc_id string, text string")
+    rows = chunk_and_embed(docs, recording_factory(), 1, 0, batch_size=10)
+    recorded = rows.select("doc_id", "chunk_id", F.col("embedding")[0].cast("int").alias("n_texts"), F.col("embedding")[1].cast("int").alias("place"))
+    found = calls(recorded).orderBy("doc_id", "batch_no").collect()
+    assert [(r["doc_id"], r["n_texts"], r["first_chunk"], r["last_chunk"]) for r in found] == [
+        ("a", 10, 0, 9), ("a", 10, 10, 19), ("a", 5, 20, 24), ("b", 3, 0, 2),
+    ]
+
+
+def recording_factory():
+    def factory():
+        return lambda texts: [{"index": i, "embedding": [len(texts), i]} for i in reversed(range(len(texts)))]
+
+    return factory
 
 
 def test_hash_vectors(spark):
