@@ -61,7 +61,12 @@ DELETIONS = f"""deletions AS (
   SELECT 2, page_id, {arr("page_id", 10, 2, 2)}, concat('page-', page_id), 'web_pages', [] FROM pages
   UNION ALL
   SELECT 3, conv_id * 1000 + turn, {arr("conv_id * 1000 + turn", 10, 2, 3)}, '', 'user_chat_topic', ['doc_id:blank']
-    FROM conversations WHERE role = 'system')"""
+    FROM conversations WHERE role = 'system'
+  UNION ALL
+  SELECT 4, doc_id, {arr("doc_id", 30, 2, 4)}, CAST(doc_id AS VARCHAR), topic, []
+    FROM labelled WHERE toxic = 1 AND quality = 1 AND lang = 'en'
+  UNION ALL
+  SELECT 5, doc_id, {arr("doc_id", -1, 2, 5)}, CAST(doc_id AS VARCHAR), topic, [] FROM labelled WHERE quality = 1 AND lang = 'fr')"""
 
 CREATIONS = f"""creations AS (
   SELECT 0 AS "partition", doc_id AS "offset", {arr("doc_id", 0, 0, 0)} AS arrival, topic AS index_name,
@@ -379,11 +384,9 @@ SQL = {
   FROM seeds s LEFT JOIN (SELECT * FROM messages WHERE len(errors) = 0) m USING (index_name) GROUP BY s.index_name""",
     ),
     "system_indices_ready": with_(
-        LABELLED,
-        CREATIONS,
-        REGISTRY,
-        select="""SELECT bool_and(r.index_name IS NOT NULL) AS all_ready, count(r.index_name) AS n_ready, count(*) AS n_wanted
-  FROM seeds s LEFT JOIN registry r ON s.index_name = r.index_name""",
+        *STATE,
+        select="""SELECT bool_and(u.index_name IS NOT NULL) AS all_ready, count(u.index_name) AS n_ready, count(*) AS n_wanted
+  FROM seeds s LEFT JOIN (SELECT DISTINCT index_name FROM routed) u ON s.index_name = u.index_name""",
     ),
     "route_existing": with_(*STATE, select='SELECT "partition", "offset", doc_id, index_name FROM routed'),
     "route_missing": with_(*STATE, select='SELECT "partition", "offset", doc_id, index_name FROM missing'),
@@ -454,21 +457,28 @@ FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FR
     ),
     "dim_report": with_(
         *log(FULL),
-        select=f"""SELECT index_name, {DIM} AS dim, count(*) AS n_rows, {DIM} AS index_dim, true AS matches
-  FROM written GROUP BY index_name""",
+        select=f"""SELECT index_name, {DIM} AS dim, count(*) AS n_rows,
+  CASE WHEN starts_with(index_name, 'system_') THEN {DIM // 2} ELSE {DIM} END AS index_dim,
+  NOT starts_with(index_name, 'system_') AS matches FROM written GROUP BY index_name""",
     ),
     "index_rows": view("written", FULL),
     "upsert_latest": view("latest"),
     "delete_by_doc_id": view("live"),
     "replace_document": view("live JOIN last_writes USING (index_name, doc_id) WHERE arrival = last_written"),
     "stale_chunks": view("live JOIN last_writes USING (index_name, doc_id) WHERE arrival < last_written"),
+    # each write is seen through to the deletion that ends it, if its index was there when the deletion came
     "deletion_outcomes": with_(
         *log(SMALL),
-        select="""SELECT d."partition", d."offset", d.doc_id, d.index_name,
-  CASE WHEN r.created IS NULL OR r.created >= d.arrival THEN 'missing_index' WHEN n > 0 THEN 'deleted' ELSE 'nothing_found' END AS status,
-  CASE WHEN r.created < d.arrival THEN coalesce(n, 0) ELSE 0 END AS n_deleted, coalesce(r.created < d.arrival, false) AS success
-  FROM (SELECT * FROM deletions WHERE len(errors) = 0) d LEFT JOIN registry r ON d.index_name = r.index_name
-  LEFT JOIN (SELECT index_name, doc_id, count(*) AS n FROM latest GROUP BY ALL) l ON l.index_name = d.index_name AND l.doc_id = d.doc_id""",
+        """judged AS (SELECT d.*, coalesce(r.created < d.arrival, false) AS known
+  FROM deletions d LEFT JOIN registry r ON d.index_name = r.index_name WHERE len(errors) = 0)""",
+        """ended AS (SELECT w.index_name, w.doc_id, w.row_id, min(d.arrival) AS arrival FROM written w
+  JOIN judged d ON d.known AND d.index_name = w.index_name AND d.doc_id = w.doc_id AND d.arrival > w.arrival
+  GROUP BY w.index_name, w.doc_id, w.row_id, w.arrival)""",
+        """taken AS (SELECT index_name, doc_id, arrival, count(DISTINCT row_id) AS n FROM ended GROUP BY ALL)""",
+        select="""SELECT "partition", "offset", doc_id, index_name,
+  CASE WHEN NOT known THEN 'missing_index' WHEN n > 0 THEN 'deleted' ELSE 'nothing_found' END AS status,
+  coalesce(n, 0) AS n_deleted, known AS success
+  FROM judged LEFT JOIN taken USING (index_name, doc_id, arrival)""",
     ),
     "message_outcomes": with_(
         *log(SMALL),
@@ -483,6 +493,7 @@ FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FR
   FROM registry r LEFT JOIN live l USING (index_name) GROUP BY ALL""",
     ),
     "stream_backfill": view("live"),
+    "redelivered_index": view("live"),
     "stream_outcomes": with_(*log(SMALL), OUTCOMES, select=SUMMARY),
     "compacted_index": view("live"),
     "analyze_tokens": f"""SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, CAST(len(list_distinct(t)) AS INTEGER) AS n_terms,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillstream.functions.hashing import HashEmbedderFactory
@@ -25,7 +27,7 @@ from quillstream.schemas import ENVELOPE
 from quillstream.session import checkpoint_folder, configure, settle, settled_path
 from quillstream.sources.change_log import ChangeLog
 from quillstream.sources.messages import MessageSource, read_deletions, read_documents, read_index_creations
-from quillstream.streaming.ingest import IngestSettings, Sources, backfill
+from quillstream.streaming.ingest import IngestSettings, Sources, apply_batch, backfill, prepare
 
 DIM = 64
 K = 10
@@ -272,7 +274,10 @@ def system_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def system_indices_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_system_ready(replayed(spark, sf_dir, SMALL).registry)
+    """Which system indices are there, in a registry of those that some document went to."""
+    state = replayed(spark, sf_dir, SMALL)
+    used = state.registry.join(state.routed.select("index_name").distinct(), "index_name", "left_semi")
+    return all_system_ready(used)
 
 
 def route_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,8 +373,21 @@ def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.where("x != 0").select("doc_id", "place", F.round(F.col("x").cast("double"), 5).alias("x"))
 
 
+def _call_recorder():
+    """An embedder whose vectors tell the call: how many texts it had, and which one this was; items come in falling order."""
+
+    def factory():
+        return lambda texts: [{"index": i, "embedding": [len(texts), i]} for i in reversed(range(len(texts)))]
+
+    return factory
+
+
 def embedding_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding.embedding_batches(_chunks(spark, sf_dir, SMALL))
+    """The model calls that chunking and embedding makes, told by what the model was given."""
+    texts = docs(spark, sf_dir).select("doc_id", "text")
+    rows = embedding.chunk_and_embed(texts, _call_recorder(), SMALL.size, SMALL.overlap, batch_size=K).where("chunk_id IS NOT NULL")
+    size, place = (F.col("embedding")[i].cast("int") for i in (0, 1))
+    return embedding.calls(rows.select("doc_id", "chunk_id", size.alias("n_texts"), place.alias("place")))
 
 
 def order_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,8 +420,11 @@ def index_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors beside a registry whose system indices were made for half the dimension."""
     state = replayed(spark, sf_dir, FULL)
-    return embedding.dim_report(index_state.stored(state.rows()), state.registry)
+    halved = F.when(F.col("kind") == "system", F.lit(DIM // 2)).otherwise(F.col("dim")).cast("int")
+    state = replace(state, registry=settle(state.registry.withColumn("dim", halved)))
+    return embedding.dim_report(state.rows(), state.registry)
 
 
 # Index state
@@ -431,10 +452,10 @@ def stale_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deletion_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deletions judged against all rows ever written and not overwritten."""
+    """Deletions judged against all writes."""
     state = replayed(spark, sf_dir, SMALL)
-    rows = index_state.latest_rows(index_state.stored(state.rows()))
-    judged = index_state.deletion_outcomes(state.deletes, state.registry, rows)
+    writes = index_state.stored(state.rows())
+    judged = index_state.deletion_outcomes(state.deletes, state.registry, writes)
     return judged.select("partition", "offset", "doc_id", "index_name", "status", "n_deleted", "success")
 
 
@@ -472,6 +493,19 @@ def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_view(_streamed(spark, sf_dir).live())
 
 
+def redelivered_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in one batch, and those of the documents, conversations' turns and deletions in a second one again."""
+    configure(spark)
+    documents = spread(derived.document_messages(spark, sf_dir), "partition", "offset")
+    deletions = derived.deletion_messages(spark, sf_dir)
+    log = ChangeLog(spark, f"{checkpoint_folder(spark)}/redelivered-{spark.sql('select uuid()').first()[0]}")
+    prepare(log, SMALL)
+    everything = documents.unionByName(deletions).unionByName(derived.creation_messages(spark, sf_dir))
+    apply_batch(everything, 0, log, SMALL)
+    apply_batch(documents.where("partition <> 1").unionByName(deletions), 1, log, SMALL)
+    return index_view(log.live())
+
+
 def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.outcome_summary(_streamed(spark, sf_dir).read("outcomes"))
 
@@ -590,6 +624,7 @@ QUERIES = {
     "outcome_summary": outcome_summary,
     "index_stats": index_stats,
     "stream_backfill": stream_backfill,
+    "redelivered_index": redelivered_index,
     "stream_outcomes": stream_outcomes,
     "compacted_index": compacted_index,
     "analyze_tokens": analyze_tokens,

@@ -41,39 +41,49 @@ def stored(log: DataFrame) -> DataFrame:
     return log.where(F.col("chunk_id").isNotNull() & F.col("error").isNull())
 
 
+def _write_order(log: DataFrame) -> list[str]:
+    """What orders writes of one row; a message that came again has the same arrival, but in a stored log a later batch."""
+    return [name for name in ("arrival", "batch_id") if name in log.columns]
+
+
 def latest_rows(log: DataFrame) -> DataFrame:
-    """The last write of each row.
+    """The last write of each row; of the same message delivered again, one.
 
     Spark limits each (index, row) group to one row before the shuffle as well as after it, so a row that was
     written very often sends at most one version per task.
     """
-    newest_first = Window.partitionBy("index_name", "row_id").orderBy(F.desc("arrival"))
+    newest_first = Window.partitionBy("index_name", "row_id").orderBy(*[F.desc(name) for name in _write_order(log)])
     return log.withColumn("_n", F.row_number().over(newest_first)).where("_n = 1").drop("_n")
 
 
 def overwritten(log: DataFrame) -> DataFrame:
-    """Rows written more than once, with their last write; reads keys only, no text and no vector."""
+    """Rows written more than once, with their last write `_last` and how many rows are that write (`_same`, over 1 if a
+    message came twice in one batch); reads keys only, no text and no vector."""
+    key = ["index_name", "row_id"]
+    writes = log.select(*key, F.struct(*_write_order(log)).alias("_write")).groupBy(*key, "_write").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        log.groupBy("index_name", "row_id")
-        .agg(F.max("arrival").alias("_last"), F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .drop("_n")
+        writes.groupBy(*key)
+        .agg(F.max("_write").alias("_last"), F.max_by("_n", "_write").alias("_same"), F.sum("_n").alias("_all"))
+        .where("_all > 1")
+        .drop("_all")
     )
 
 
 def latest_stored_rows(log: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The same as `latest_rows`, for a log that is a stored table and can be read twice.
 
-    While few rows have been overwritten, their keys are broadcast, and texts and vectors are not shuffled at all.
+    While few rows have been overwritten, their keys are broadcast, and texts and vectors are not shuffled at all, but
+    for rows whose last write is there more than once: of these one is taken.
     """
     again = settle(overwritten(log))
     if measure(again)[1] > limit:
         return latest_rows(log)
-    return (
-        log.join(F.broadcast(again), ["index_name", "row_id"], "left")
-        .where(F.col("_last").isNull() | (F.col("arrival") == F.col("_last")))
-        .select(*log.columns)
-    )
+    marked = log.join(F.broadcast(again), ["index_name", "row_id"], "left")
+    last = marked.where(F.col("_last").isNull() | (F.struct(*_write_order(log)) == F.col("_last")))
+    if again.where("_same > 1").isEmpty():
+        return last.select(*log.columns)
+    repeated = F.coalesce(F.col("_same") > 1, F.lit(False))
+    return last.where(~repeated).select(*log.columns).unionByName(latest_rows(last.where(repeated).select(*log.columns)))
 
 
 def last_deletes(deletes: DataFrame) -> DataFrame:
@@ -114,28 +124,37 @@ def stale_chunks(log: DataFrame, deletes: DataFrame) -> DataFrame:
     return live.join(last_writes(taken), DOC_KEY).where(F.col("arrival") < F.col("_written")).select(*live.columns)
 
 
-def deletion_outcomes(deletes: DataFrame, registry: DataFrame, rows: DataFrame) -> DataFrame:
-    """What each valid deletion does to the index state `rows`.
+def deleted_rows(deletes: DataFrame, writes: DataFrame) -> DataFrame:
+    """Rows that each deletion took out: `index_name, doc_id, arrival, n_deleted`, for deletions that took any.
 
-    `missing_index`, `deleted` with the number of rows, or `nothing_found`, which counts as success. Of several
-    requests for one document the first gets the rows and the others find nothing.
+    A write belongs to the first deletion of its document after it; a deletion counts the distinct rows of its writes.
+    Needs keys only. The deletions of a document are one sorted list, so a document with many writes is a skewed join
+    that Spark splits, and its writes are combined before each shuffle.
+    """
+    lists = deletes.groupBy(*DOC_KEY).agg(F.array_sort(F.collect_set("arrival")).alias("_deletions"))
+    keys = writes.select(*DOC_KEY, "row_id", F.col("arrival").alias("_written"))
+    after = F.filter("_deletions", lambda deletion: deletion > F.col("_written"))
+    taken = keys.join(broadcast_if_small(settle(lists)), DOC_KEY).select(*DOC_KEY, "row_id", F.array_min(after).alias("arrival"))
+    rows = taken.where(F.col("arrival").isNotNull()).groupBy(*DOC_KEY, "arrival", "row_id").agg(F.lit(1).alias("_one"))
+    return rows.groupBy(*DOC_KEY, "arrival").agg(F.count(F.lit(1)).alias("n_deleted"))
+
+
+def deletion_outcomes(deletes: DataFrame, registry: DataFrame, writes: DataFrame) -> DataFrame:
+    """What each valid deletion did, given all stored `writes` (keys are enough).
+
+    `missing_index` if its index had not been made, `deleted` with the number of rows, or `nothing_found`, which counts
+    as success.
     """
-    counts = rows.groupBy(*DOC_KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    first = deletes.groupBy(*DOC_KEY).agg(F.min("arrival").alias("_first")).join(counts, DOC_KEY, "left")
     made = broadcast_if_small(registry.select("index_name", F.col("created").alias("_created")))
-    hit = F.when(F.col("arrival") == F.col("_first"), F.coalesce("_rows", F.lit(0))).otherwise(F.lit(0))
-    judged = (
-        deletes.join(first, DOC_KEY, "left")
-        .join(made, "index_name", "left")
-        .withColumn("_known", F.coalesce(F.col("_created") < F.col("arrival"), F.lit(False)))
-        .withColumn("n_deleted", F.when(F.col("_known"), hit).otherwise(F.lit(0)).cast("bigint"))
-    )
+    judged = deletes.join(made, "index_name", "left").withColumn("_known", F.coalesce(F.col("_created") < F.col("arrival"), F.lit(False)))
+    hits = deleted_rows(judged.where("_known"), writes)
+    counted = judged.join(hits, [*DOC_KEY, "arrival"], "left").withColumn("n_deleted", F.coalesce("n_deleted", F.lit(0)).cast("bigint"))
     status = (
         F.when(~F.col("_known"), F.lit("missing_index"))
         .when(F.col("n_deleted") > 0, F.lit("deleted"))
         .otherwise(F.lit("nothing_found"))
     )
-    return judged.select(
+    return counted.select(
         *deletes.columns, status.alias("status"), "n_deleted", F.col("_known").alias("success")
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.ids import index_kind
 from ..functions.text import strip
@@ -44,20 +44,22 @@ def create_indices(registry: DataFrame, creations: DataFrame, dim: int = EMBEDDI
     )
 
 
-def _created_before(docs: DataFrame, registry: DataFrame, how: str) -> DataFrame:
-    known = broadcast_if_small(registry.select(F.col("index_name").alias("_index"), F.col("created").alias("_created")))
-    condition = (docs["index_name"] == known["_index"]) & (known["_created"] < docs["arrival"])
-    return docs.join(known, condition, how)
+def _known(docs: DataFrame, registry: DataFrame, *extra: str) -> tuple[DataFrame, Column]:
+    renamed = [F.col("index_name").alias("_index"), F.col("created").alias("_created"), *extra]
+    known = broadcast_if_small(registry.select(*renamed))
+    return known, (docs["index_name"] == known["_index"]) & (known["_created"] < docs["arrival"])
 
 
 def route_existing(docs: DataFrame, registry: DataFrame) -> DataFrame:
-    """Documents whose index was created before they arrived."""
-    return _created_before(docs, registry, "left_semi")
+    """Documents whose index was created before they arrived, with `index_dim`, the dimension it was made for."""
+    known, condition = _known(docs, registry, "dim")
+    return docs.join(known, condition).select(*[docs[name] for name in docs.columns], known["dim"].alias("index_dim"))
 
 
 def route_missing(docs: DataFrame, registry: DataFrame) -> DataFrame:
     """Documents whose index does not exist, or did not when they arrived."""
-    return _created_before(docs, registry, "left_anti")
+    known, condition = _known(docs, registry)
+    return docs.join(known, condition, "left_anti")
 
 
 def system_ready(registry: DataFrame, topics: str = SYSTEM_TOPICS) -> DataFrame:

@@ -7,13 +7,14 @@ Nothing is sampled: every row of `documents`, `pages`, `conversations` and `labe
   a document without a label has a time that cannot be read.
 * pages: break three rules each. conversations: each turn is a new version of its conversation, so rows are
   overwritten and shorter turns leave stale tails.
-* labels: a toxic document is deleted later; one that is also of high quality is sent again after that.
+* labels: a toxic document is deleted later; one that is also of high quality is sent again after that, and in English
+  deleted again; French documents of high quality are deleted before they come, which finds nothing.
 * creations: a labelled document asks for its index, so documents that came before the first of these find none.
 """
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -125,8 +126,9 @@ def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deletion_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxic documents; benchmark items, which were never sent; pages, whose index does not exist; and system turns
-    of conversations, with a blank id."""
+    """Toxic documents; benchmark items, which were never sent; pages, whose index does not exist; system turns of
+    conversations, with a blank id; English documents that were sent again after their deletion, once more; and French
+    ones of high quality, before they are sent at all."""
 
     def request(doc_id: Column, index_name: Column) -> Column:
         return _object(doc_id=doc_id, index_name=index_name, request_time=F.lit(REQUEST_TIME))
@@ -159,7 +161,14 @@ def deletion_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("role = 'system'")
         .select(*_envelope(DELETIONS_TOPIC, 3, F.col("conv_id") * 1000 + F.col("turn"), 10, request(F.lit(" \t "), F.lit("user_chat_topic")))),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    doc_id, index_name = F.col("doc_id").cast("string"), topic_of(F.col("lang"), F.col("source"))
+    parts += [
+        toxic.where("quality = 1 AND lang = 'en'").select(*_envelope(DELETIONS_TOPIC, 4, F.col("doc_id"), 30, request(doc_id, index_name))),
+        labelled_documents(spark, sf_dir)
+        .where("quality = 1 AND lang = 'fr'")
+        .select(*_envelope(DELETIONS_TOPIC, 5, F.col("doc_id"), -1, request(doc_id, index_name))),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def creation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

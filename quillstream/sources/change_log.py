@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.ids import index_kind
-from ..operators.index_state import DOC_KEY, apply_deletes, last_writes, latest_stored_rows, stored
+from ..operators.index_state import DOC_KEY, apply_deletes, deletion_outcomes, last_writes, latest_stored_rows, stored
 from ..schemas import DELETES, INDEX_ROW, OUTCOME, REGISTRY
 
 _BATCH = T.StructField("batch_id", T.LongType())
@@ -27,6 +27,7 @@ SCHEMAS = {
     "registry": REGISTRY,
     "outcomes": OUTCOME,
     "snapshot": INDEX_ROW,
+    "owner": T.StructType([T.StructField("query_id", T.StringType())]),
     "commits": T.StructType([T.StructField("committed_at", T.TimestampType())]),
     "compactions": T.StructType([T.StructField("committed_at", T.TimestampType())]),
 }
@@ -82,16 +83,35 @@ class ChangeLog:
             .select("index_name", index_kind(F.col("index_name")).alias("kind"), "dim", "created")
         )
 
+    def deletion_outcomes(self) -> DataFrame:
+        """What each deletion of the committed batches did; reads keys of the rows, no text and no vector."""
+        writes = stored(self.read("rows")).select("index_name", "doc_id", "row_id", "arrival")
+        return deletion_outcomes(self.read("deletes").drop("batch_id").distinct(), self.registry(), writes)
+
+    def claim(self, query_id: str) -> None:
+        """Bind the log to one streaming query; another one, whose batch numbers mean other messages, is refused."""
+        owner = self._read("owner").first()
+        if owner is None:
+            self.write("owner", 0, self.spark.range(1).select(F.lit(query_id).alias("query_id")))
+        elif owner["query_id"] != query_id:
+            raise ValueError(f"{self.path} belongs to another checkpoint: its batches would be overwritten")
+
+    def seed(self, rows: DataFrame) -> None:
+        """Registry rows that belong to no batch of messages, each time in a new folder below batch 0."""
+        lowest = self._read("registry").agg(F.min("batch_id")).first()[0]
+        self.write("registry", min(0, lowest if lowest is not None else 0) - 1, rows)
+
     def live(self, replace_document: bool = False) -> DataFrame:
         """The index as it stands: the last snapshot and the batches after it."""
         base = self._last("compactions")
         columns = [f.name for f in INDEX_ROW.fields]
-        recent = stored(self.read("rows").where(F.col("batch_id") > base)).select(*columns)
+        # with the batch, as a message that was delivered again is told from the first by nothing else
+        recent = stored(self.read("rows").where(F.col("batch_id") > base)).select(*columns, "batch_id")
         parts = [recent]
         if base >= 0:
-            parts.append(self.batch("snapshot", base).select(*columns))
+            parts.append(self.batch("snapshot", base).select(*columns, "batch_id"))
         rows = reduce(DataFrame.unionByName, parts)
-        live = apply_deletes(latest_stored_rows(rows), self.read("deletes"))
+        live = apply_deletes(latest_stored_rows(rows), self.read("deletes")).select(*columns)
         if replace_document:
             # the last write of a document is in the snapshot or after it, unless all of the document was deleted
             live = live.join(last_writes(rows), DOC_KEY).where(F.col("arrival") == F.col("_written")).select(*columns)

@@ -17,6 +17,7 @@ from ..operators.decode import decode_creations, decode_deletions, decode_docume
 from ..operators.embedding import check_dim, chunk_and_embed
 from ..operators.index_state import to_index_rows
 from ..operators.routing import create_indices, route_existing, route_missing, seed_system_indices
+from ..plans.sizing import broadcast_if_small
 from ..operators.validate import (
     accepted,
     rejected,
@@ -36,11 +37,10 @@ from ..schemas import (
     SOURCE_TYPES,
     SYSTEM_TOPICS,
 )
+from ..session import settle
 from ..sources.change_log import ChangeLog
 from ..sources.messages import MessageSource, read_deletions, read_documents, read_index_creations
 
-SEED_BATCH = -1
-
 
 @dataclass(frozen=True)
 class IngestSettings:
@@ -67,7 +67,7 @@ def ingest_rows(docs: DataFrame, settings: IngestSettings) -> DataFrame:
     made = chunk_and_embed(
         with_upload_time(docs), settings.factory(), settings.size, settings.overlap, settings.batch_size, settings.retry
     )
-    rows = to_index_rows(check_dim(made, settings.dim))
+    rows = to_index_rows(check_dim(made, "index_dim"))
     return rows.select(
         F.lit(DOCUMENTS_TOPIC).alias("topic"),
         F.col("arrival.partition").alias("partition"),
@@ -113,8 +113,11 @@ def apply_batch(messages: DataFrame, batch_id: int, log: ChangeLog, settings: In
 
 
 def prepare(log: ChangeLog, settings: IngestSettings) -> None:
-    """Make the system indices; they belong to a batch before the first."""
-    log.write("registry", SEED_BATCH, seed_system_indices(log.spark, settings.system_topics, settings.dim))
+    """Make the system indices that are not there yet; one that is there stays as it was made, whatever the settings say now."""
+    seeds = seed_system_indices(log.spark, settings.system_topics, settings.dim)
+    fresh = settle(seeds.join(broadcast_if_small(log.registry().select("index_name")), "index_name", "left_anti"))
+    if not fresh.isEmpty():
+        log.seed(fresh)
 
 
 @dataclass(frozen=True)
@@ -147,8 +150,13 @@ def start_ingest(
     batch that had not been committed, which then replaces itself."""
     log = ChangeLog(spark, out)
     prepare(log, settings)
-    stream = read_all(spark, sources, streaming=True)
-    writer = stream.writeStream.foreachBatch(lambda df, batch_id: apply_batch(df, batch_id, log, settings))
+
+    def take(df: DataFrame, batch_id: int) -> None:
+        # the id of the query is kept in its checkpoint
+        log.claim(df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
+        apply_batch(df, batch_id, log, settings)
+
+    writer = read_all(spark, sources, streaming=True).writeStream.foreachBatch(take)
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 

@@ -1,4 +1,6 @@
+import pytest
 from messages import creation, deletion, document, envelope
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from quillstream.operators.index_state import (
@@ -102,18 +104,32 @@ def test_replay(spark):
     assert by_kind["user_1_topic"]["user_upload_time"] and by_kind["user_1_topic"]["user_id"] == "1"
 
 
+DELETED = {
+    20: ("deleted", 2, True), 21: ("nothing_found", 0, True), 22: ("deleted", 2, True), 23: ("nothing_found", 0, True),
+    24: ("missing_index", 0, False), 25: ("nothing_found", 0, True), 26: ("nothing_found", 0, True),
+    27: ("nothing_found", 0, True),
+}
+
+
+def judged(found):
+    return {r["offset"]: (r["status"], r["n_deleted"], r["success"]) for r in found.collect()}
+
+
 def test_deletion_outcomes(spark):
     state = replay(*all_messages(spark), SETTINGS)
-    before = latest_rows(state.rows().where("chunk_id IS NOT NULL"))
-    found = {
-        r["offset"]: (r["status"], r["n_deleted"], r["success"])
-        for r in deletion_outcomes(state.deletes, state.registry, before).collect()
-    }
-    assert found == {
-        20: ("deleted", 2, True), 21: ("nothing_found", 0, True), 22: ("deleted", 2, True), 23: ("nothing_found", 0, True),
-        24: ("missing_index", 0, False), 25: ("nothing_found", 0, True), 26: ("nothing_found", 0, True),
-        27: ("nothing_found", 0, True),
-    }
+    writes = state.rows().where("chunk_id IS NOT NULL")
+    assert judged(deletion_outcomes(state.deletes, state.registry, writes).withColumn("offset", F.col("arrival.offset"))) == DELETED
+
+
+def test_a_deletion_counts_what_was_written_before_it(spark):
+    made = [(0, creation("user_1_topic"))]
+    written = [(10, document("d", LONG)), (11, document("d", LONG)), (30, document("d", SHORT)), (50, document("d", LONG))]
+    deleted = [(5, deletion("d")), (21, deletion("d")), (22, deletion("d")), (40, deletion("d"))]
+    state = replay(envelope(spark, "documents", written), envelope(spark, "document_deletions", deleted), envelope(spark, "index_creations", made), SETTINGS)
+    found = deletion_outcomes(state.deletes, state.registry, state.rows().where("chunk_id IS NOT NULL"))
+    assert {r["arrival"]["offset"]: (r["status"], r["n_deleted"]) for r in found.collect()} == {
+        5: ("nothing_found", 0), 21: ("deleted", 2), 22: ("nothing_found", 0), 40: ("deleted", 1),
+    }
 
 
 def test_indices_are_made_once(spark):
@@ -175,6 +191,7 @@ def test_batch_written_twice_or_half_changes_nothing(spark, tmp_path):
     apply_batch(messages, 0, log, SETTINGS)
     assert shown(log.live()) == LIVE
     assert summary(log.read("outcomes")) == SUMMARY
+    assert judged(log.deletion_outcomes().withColumn("offset", F.col("arrival.offset"))) == DELETED
     # a batch without its commit is not seen
     log.write("deletes", 1, log.read("rows").select("index_name", "doc_id", F.col("arrival")).withColumn(
         "arrival", F.struct(F.timestamp_seconds(F.lit(99)).alias("timestamp"), F.lit(2).alias("rank"), F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"))))
@@ -225,3 +242,56 @@ def test_hot_document_is_split_when_deletes_cannot_be_broadcast(spark, monkeypat
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_messages_that_come_again_count_once(spark, tmp_path, monkeypatch):
+    import quillstream.operators.index_state as index_state
+
+    log = ChangeLog(spark, str(tmp_path / "out"))
+    prepare(log, SETTINGS)
+    documents, deletions, creations = all_messages(spark)
+    apply_batch(documents.unionByName(deletions).unionByName(creations), 0, log, SETTINGS)
+    # in a later batch, and there twice
+    apply_batch(documents.unionByName(documents), 1, log, SETTINGS)
+    for limit in (index_state.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(index_state.latest_stored_rows, "__defaults__", (limit,))
+        live = log.live()
+        assert shown(live) == LIVE
+        assert live.count() == len(LIVE)
+
+
+def test_another_checkpoint_is_refused(spark, tmp_path):
+    found = sources(spark, tmp_path, [(0, 99)])
+    out = str(tmp_path / "out")
+    backfill(spark, found, out, str(tmp_path / "offsets"), SETTINGS)
+    with pytest.raises(StreamingQueryException, match="belongs to another checkpoint"):
+        backfill(spark, found, out, str(tmp_path / "fresh"), SETTINGS)
+    log = ChangeLog(spark, out)
+    assert log._last("commits") == 0
+    assert shown(log.live()) == LIVE
+
+
+def test_a_restart_never_unmakes_an_index(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "out"))
+    prepare(log, SETTINGS)
+    documents, deletions, creations = all_messages(spark)
+    apply_batch(documents.unionByName(creations), 0, log, SETTINGS)
+    other = IngestSettings(size=5, overlap=2, dim=16, system_topics="topic_2,topic_3")
+    prepare(log, other)
+    prepare(log, other)
+    made = {r["index_name"]: r["dim"] for r in log.registry().collect()}
+    assert made == {"user_1_topic": 8, "user_2_topic": 8, "odd": 8, "system_topic_1": 8, "system_topic_2": 8, "system_topic_3": 16}
+    later = [(40, document("one", SHORT, "system_topic_1", user_id=None)), (41, document("three", SHORT, "system_topic_3", user_id=None))]
+    apply_batch(envelope(spark, "documents", later), 1, log, other)
+    found = {r["doc_id"]: (r["status"], r["reason"]) for r in log.read("outcomes").where("batch_id = 1").collect()}
+    assert found == {"one": ("failed", ["dimension:16"]), "three": ("indexed", [])}
+
+
+def test_a_creation_after_its_documents_comes_too_late(spark, tmp_path):
+    """Unlike in a replay, which knows all creations from the start."""
+    log = ChangeLog(spark, str(tmp_path / "out"))
+    prepare(log, SETTINGS)
+    apply_batch(envelope(spark, "documents", [(5, document("d", SHORT))]), 0, log, SETTINGS)
+    apply_batch(envelope(spark, "index_creations", [(0, creation("user_1_topic"))]), 1, log, SETTINGS)
+    assert log.live().count() == 0
+    assert [r["status"] for r in log.read("outcomes").where("topic = 'documents'").collect()] == ["missing_index"]
