@@ -12,11 +12,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.arrow import expand, matrix
-from ..functions.text import TOKEN, analyze
+from ..functions.text import analyze
 from ..plans.sizing import broadcast_if_small, measure
 from ..session import settle
 
@@ -31,6 +32,10 @@ PLACES = 6
 QUERY_BYTES = 4 << 20
 # Best hits a task keeps before it hands them on.
 KEPT_HITS = 2_000_000
+# Pairs of a query and a row that a task scores at once.
+CELLS = 2_000_000
+# Query terms up to this number are looked for in the JVM already, so that other tokens never reach Python.
+LISTED_TERMS = 2_000
 
 
 def top_k(hits: DataFrame, k: int) -> DataFrame:
@@ -79,44 +84,53 @@ def postings(idx: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     return counted.join(wanted, "term", "left_semi").select(*keep, "term", "tf")
 
 
-def text_statistics(idx: DataFrame) -> DataFrame:
-    """Rows and mean length of each index."""
-    lengths = idx.select("index_name", F.regexp_count(F.lower("text"), F.lit(TOKEN)).alias("n_terms"))
-    return (
-        lengths.where("n_terms > 0")
-        .groupBy("index_name")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.avg("n_terms").alias("mean_terms"))
-    )
-
-
 def query_terms(queries: DataFrame) -> DataFrame:
     """Terms of each query with how often they are in it."""
     terms = queries.select("query_id", F.explode(analyze(F.col("text"))).alias("term"))
     return terms.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("query_tf"))
 
 
-def bm25_search(idx: DataFrame, queries: DataFrame, k: int = 10, k1: float = K1, b: float = B) -> DataFrame:
-    """Top `k` rows of each index for each text query, by BM25 over the statistics of that index.
+COUNTS = ("index_name", "row_id", "n_terms")
 
-    Texts are read once: the postings of the query terms are settled, then weighed. Term weights are small (query
-    terms by index) and are broadcast when measured so; otherwise the join splits hot terms.
-    """
-    terms = settle(query_terms(queries))
-    found = settle(postings(idx, terms))
-    weights = settle(term_weights(found, text_statistics(idx), terms))
-    length = 1 - b + b * F.col("n_terms") / F.col("mean_terms")
-    part = F.col("weight") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * length)
-    hits = (
-        found.join(broadcast_if_small(weights), ["index_name", "term"])
-        .groupBy(*GROUP, "row_id")
-        .agg(F.round(F.sum(part), PLACES).alias("score"))
-    )
-    return top_k(hits, k)
 
+def term_counts(idx: DataFrame, terms: DataFrame) -> DataFrame:
+    """One record for each row that has tokens: its length, and the counts of those query terms it holds.
+
+    `index_name, row_id, n_terms, terms array<string>, counts array<bigint>`; nothing is shuffled. Query terms too many
+    to hold in a task are not filtered by, and the record has the counts of all its terms.
+    """
+    wanted = settle(terms.select("term").distinct())
+    listed = [row["term"] for row in wanted.collect()] if measure(wanted)[1] <= QUERY_BYTES else None
+    known = None if listed is None else pa.array(listed, pa.string())
+    tokens = analyzed(idx).select(*COUNTS, "tokens")
+    if listed is not None and len(listed) <= LISTED_TERMS:
+        tokens = tokens.withColumn("tokens", F.filter("tokens", lambda token: token.isin(listed)) if listed else F.slice("tokens", 1, 0))
 
-def term_weights(found: DataFrame, statistics: DataFrame, terms: DataFrame) -> DataFrame:
-    """Weight of each query term in each index: inverse document frequency times its count in the query."""
-    df = found.groupBy("index_name", "term").agg(F.count(F.lit(1)).alias("df"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("tokens")
+            coded = column.flatten().dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy(zero_copy_only=False))
+            if known is not None and len(codes):
+                asked = pc.is_in(coded.dictionary, value_set=known).to_numpy(zero_copy_only=False)[codes]
+                row, codes = row[asked], codes[asked]
+            width = max(1, len(coded.dictionary))
+            pairs, tf = np.unique(row * width + codes, return_counts=True)
+            rows, found = np.divmod(pairs, width)
+            offsets = pa.array(np.searchsorted(rows, np.arange(len(column) + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, values) for values in (coded.dictionary.take(pa.array(found)), pa.array(tf, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=[*COUNTS, "terms", "counts"])
+
+    lists = [T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.LongType()))]
+    return tokens.mapInArrow(count, T.StructType([tokens.schema[name] for name in COUNTS] + lists))
+
+
+def term_weights(counts: DataFrame, terms: DataFrame) -> DataFrame:
+    """Weight of each query term in each index: inverse document frequency times its count in the query; with the mean
+    length of the index. All of it comes from `counts`."""
+    statistics = counts.groupBy("index_name").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("n_terms").alias("mean_terms"))
+    df = counts.select("index_name", F.explode("terms").alias("term")).groupBy("index_name", "term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("n_rows") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     return (
         df.join(statistics, "index_name")
@@ -125,6 +139,92 @@ def term_weights(found: DataFrame, statistics: DataFrame, terms: DataFrame) -> D
     )
 
 
+def bm25_search(idx: DataFrame, queries: DataFrame, k: int = 10, k1: float = K1, b: float = B) -> DataFrame:
+    """Top `k` rows of each index for each text query, by BM25 over the statistics of that index.
+
+    Texts are read and tokenised once; the counts of the query terms are settled. All counts of a row are in one
+    record, so a row is scored where it is, and each task hands on its best `k` rows of each query and index only.
+    Weights are shared in blocks of queries of bounded size.
+    """
+    terms = settle(query_terms(queries))
+    counts = settle(term_counts(idx, terms))
+    weights = settle(term_weights(counts, terms))
+    query_type = queries.schema["query_id"].dataType
+    blocks = max(1, -(-measure(weights)[1] // QUERY_BYTES))
+    part = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    parts = []
+    for block in range(blocks):
+        rows = (weights.where(part == block) if blocks > 1 else weights).collect()
+        hits = top_k(_score_texts(counts.where(F.size("terms") > 0), query_type, rows, k, k1, b), k)
+        parts.append(hits if blocks == 1 else settle(hits))
+    return reduce(DataFrame.unionByName, parts)
+
+
+class _Weights:
+    """Weights of the query terms of one index, by term."""
+
+    def __init__(self, rows: list):
+        self.mean = rows[0]["mean_terms"]
+        self.queries = list(dict.fromkeys(row["query_id"] for row in rows))
+        place = {query: i for i, query in enumerate(self.queries)}
+        self.terms = {term: i for i, term in enumerate(dict.fromkeys(row["term"] for row in rows))}
+        number = np.array([self.terms[row["term"]] for row in rows])
+        order = np.argsort(number, kind="stable")
+        self.query = np.array([place[row["query_id"]] for row in rows])[order]
+        self.weight = np.array([row["weight"] for row in rows])[order]
+        self.starts = np.searchsorted(number[order], np.arange(len(self.terms) + 1))
+
+    def scores(self, row: np.ndarray, term: np.ndarray, part: np.ndarray, rows: int) -> np.ndarray:
+        """Scores by (query, row), from the parts that terms add to rows; -inf where no term is shared."""
+        held = term >= 0
+        row, term, part = row[held], term[held], part[held]
+        sizes = self.starts[term + 1] - self.starts[term]
+        at = np.repeat(self.starts[term] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        cell = self.query[at] * rows + np.repeat(row, sizes)
+        total = np.bincount(cell, np.repeat(part, sizes) * self.weight[at], len(self.queries) * rows)
+        total = np.floor(total * 10**PLACES + 0.5) / 10**PLACES
+        total[np.bincount(cell, minlength=len(total)) == 0] = -np.inf
+        return total.reshape(len(self.queries), rows)
+
+
+def _score_texts(counts: DataFrame, query_type: T.DataType, weights: list, k: int, k1: float, b: float) -> DataFrame:
+    """Best `k` rows of each query and index in each task."""
+    by_index: dict[str, list] = {}
+    for row in weights:
+        by_index.setdefault(row["index_name"], []).append(row)
+    shared = counts.sparkSession.sparkContext.broadcast({name: _Weights(rows) for name, rows in by_index.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = _Hits(k, query_type, id_type)
+        for batch in batches:
+            names = np.asarray(batch.column("index_name").to_pylist(), dtype=object)
+            ids = np.asarray(batch.column("row_id").to_pylist(), dtype=object)
+            terms, lengths = batch.column("terms"), batch.column("n_terms").to_numpy(zero_copy_only=False)
+            coded = terms.flatten().dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            tf = batch.column("counts").flatten().to_numpy(zero_copy_only=False).astype(float)
+            row = np.repeat(np.arange(len(terms)), terms.value_lengths().to_numpy(zero_copy_only=False))
+            for name in dict.fromkeys(names.tolist()):
+                own = shared.value.get(name)
+                if own is None:
+                    continue
+                number = np.array([own.terms.get(term, -1) for term in coded.dictionary.to_pylist()] or [-1])
+                mine = np.flatnonzero(names == name)
+                step = max(1, CELLS // len(own.queries))
+                for start in range(0, len(mine), step):
+                    some = mine[start : start + step]
+                    at = np.flatnonzero(np.isin(row, some))
+                    length = 1 - b + b * lengths[row[at]] / own.mean
+                    part = tf[at] * (k1 + 1) / (tf[at] + k1 * length)
+                    scores = own.scores(np.searchsorted(some, row[at]), number[codes[at]], part, len(some))
+                    kept.add(name, own.queries, ids[some], scores)
+            yield from kept.flush(KEPT_HITS)
+        yield from kept.flush(0)
+
+    id_type = counts.schema["row_id"].dataType
+    return counts.mapInArrow(run, _hit_schema(query_type, id_type))
+
+
 # Nearest neighbours
 
 
@@ -168,6 +268,13 @@ class _Best:
 
     def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
         """Scores are (queries, rows); -inf marks a pair that is no candidate."""
+        if scores.shape[1] > 4 * self.k:
+            # rows that are among the best of some query, by score alone; ties at the edge stay
+            edge = np.partition(scores, -self.k, axis=1)[:, -self.k, None]
+            useful = ((scores >= edge) & (scores > -np.inf)).any(axis=0)
+            ids, scores = ids[useful], scores[:, useful]
+        if not len(ids):
+            return
         known = 0 if self.pool is None else len(self.pool)
         pool, places = np.unique(ids if not known else np.concatenate([self.pool, ids]), return_inverse=True)
         codes = np.hstack([places[:known][self.codes], np.broadcast_to(places[known:], scores.shape)])
@@ -180,65 +287,113 @@ class _Best:
     def hits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Query numbers, ids and scores of the kept candidates."""
         query, place = np.nonzero(self.scores > -np.inf)
-        return query, self.pool[self.codes[query, place]], self.scores[query, place]
+        return query, self.pool[self.codes[query, place]] if len(query) else np.empty(0, object), self.scores[query, place]
+
+
+def _hit_schema(query_type: T.DataType, id_type: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("query_id", query_type),
+            T.StructField("index_name", T.StringType()),
+            T.StructField("row_id", id_type),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+
+
+class _Hits:
+    """Best hits of one task by index, handed on when there are many."""
+
+    def __init__(self, k: int, query_type: T.DataType, id_type: T.DataType):
+        self.k = k
+        self.types = to_arrow_type(query_type), to_arrow_type(id_type)
+        self.best: dict[str, tuple[list, _Best]] = {}
+
+    def add(self, name: str, queries: list, ids: np.ndarray, scores: np.ndarray) -> None:
+        if name not in self.best:
+            self.best[name] = queries, _Best(len(queries), self.k)
+        self.best[name][1].add(ids, scores)
+
+    def flush(self, limit: int) -> Iterator[pa.RecordBatch]:
+        """Batches of all hits if more than `limit` may be held."""
+        if sum(len(queries) for queries, _ in self.best.values()) * self.k <= limit:
+            return
+        for name, (queries, best) in self.best.items():
+            query, ids, scores = best.hits()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([queries[q] for q in query], self.types[0]),
+                    pa.array([name] * len(query), pa.string()),
+                    pa.array(ids.tolist(), self.types[1]),
+                    pa.array(scores, pa.float64()),
+                ],
+                names=["query_id", "index_name", "row_id", "score"],
+            )
+        self.best.clear()
+
+
+def _sharing_pairs(tables: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a query and a row that share a bucket in some table, each once; other pairs are never looked at."""
+    pairs = []
+    for table in range(tables.shape[1]):
+        order = np.argsort(buckets[:, table], kind="stable")
+        sorted_buckets = buckets[order, table]
+        low, high = (np.searchsorted(sorted_buckets, tables[:, table], side) for side in ("left", "right"))
+        sizes = high - low
+        at = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        pairs.append(np.repeat(np.arange(len(tables)), sizes) * len(buckets) + order[at])
+    query, row = np.divmod(np.unique(np.concatenate(pairs)), len(buckets))
+    return query, row
+
+
+def _pair_cosines(queries: np.ndarray, rows: np.ndarray, query: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Cosines by (query, row), of the given pairs only; -inf for all others."""
+    out = np.full((len(queries), len(rows)), -np.inf)
+    norms, lengths = np.linalg.norm(rows, axis=1), np.linalg.norm(queries, axis=1)
+    step = max(1, CELLS // rows.shape[1])
+    for start in range(0, len(query), step):
+        q, r = query[start : start + step], row[start : start + step]
+        q, r = q[norms[r] > 0], r[norms[r] > 0]
+        scaled = np.einsum("pd,pd->p", queries[q], rows[r]) / (lengths[q] * norms[r]) * 10**PLACES
+        out[q, r] = np.copysign(np.floor(np.abs(scaled) + 0.5), scaled) / 10**PLACES + 0.0
+    return out
 
 
 def _scan(
     rows: DataFrame, query_type: T.DataType, query_ids: list, vectors: np.ndarray, k: int, tables: np.ndarray | None
 ) -> DataFrame:
-    """Candidates for the top `k`: every task scores its rows against all queries and hands on its best."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((query_ids, vectors, tables))
+    """Candidates for the top `k`: every task scores its rows against all queries and hands on its best.
+
+    Rows are scored in tiles of at most `CELLS` pairs, so what a task holds does not grow with queries times rows.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((query_ids, vectors, tables))
     dim = vectors.shape[1]
     id_type = rows.schema["row_id"].dataType
-    pa_query = to_arrow_type(query_type)
-    pa_id = to_arrow_type(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, vectors, tables = shared.value
-        best: dict[str, _Best] = {}
-
-        def hand_on() -> Iterator[pa.RecordBatch]:
-            for name, kept in best.items():
-                query, ids, scores = kept.hits()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([query_ids[q] for q in query], pa_query),
-                        pa.array([name] * len(query), pa.string()),
-                        pa.array(ids.tolist(), pa_id),
-                        pa.array(scores, pa.float64()),
-                    ],
-                    names=["query_id", "index_name", "row_id", "score"],
-                )
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data = matrix(batch.column("embedding"), dim)
-            scores = _cosines(vectors, data)
-            if tables is not None:
-                buckets = matrix(batch.column("lsh"), tables.shape[1])
-                shares = (tables[:, None, :] == buckets[None, :, :]).any(axis=2)
-                scores[~shares] = -np.inf
-            names = np.asarray(batch.column("index_name").to_pylist(), dtype=object)
-            ids = np.asarray(batch.column("row_id").to_pylist(), dtype=object)
-            for name in dict.fromkeys(names.tolist()):
-                mine = names == name
-                best.setdefault(name, _Best(len(query_ids), k)).add(ids[mine], scores[:, mine])
-            if len(best) * len(query_ids) * k > KEPT_HITS:
-                yield from hand_on()
-                best.clear()
-        yield from hand_on()
-
-    schema = T.StructType(
-        [
-            T.StructField("query_id", query_type),
-            T.StructField("index_name", T.StringType()),
-            T.StructField("row_id", id_type),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    return rows.mapInArrow(run, schema)
+        if not query_ids:
+            return
+        kept = _Hits(k, query_type, id_type)
+        step = max(1, CELLS // len(query_ids))
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                data = matrix(batch.column("embedding"), dim)
+                if tables is None:
+                    scores = _cosines(vectors, data)
+                else:
+                    buckets = matrix(batch.column("lsh"), tables.shape[1]).astype(np.int64)
+                    scores = _pair_cosines(vectors, data, *_sharing_pairs(tables, buckets))
+                names = np.asarray(batch.column("index_name").to_pylist(), dtype=object)
+                ids = np.asarray(batch.column("row_id").to_pylist(), dtype=object)
+                for name in dict.fromkeys(names.tolist()):
+                    mine = names == name
+                    kept.add(name, query_ids, ids[mine], scores[:, mine])
+                yield from kept.flush(KEPT_HITS)
+        yield from kept.flush(0)
+
+    return rows.mapInArrow(run, _hit_schema(query_type, id_type))
 
 
 def _nearest(idx: DataFrame, queries: DataFrame, k: int, dim: int, lsh: tuple[int, int] | None) -> DataFrame:
@@ -320,10 +475,11 @@ def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:
 
 
 def _min_max(hits: DataFrame, name: str) -> DataFrame:
-    ends = hits.groupBy(*GROUP).agg(F.min("score").alias("_low"), F.max("score").alias("_high"))
-    spread = F.col("_high") - F.col("_low")
-    scaled = F.when(spread == 0, F.lit(1.0)).otherwise((F.col("score") - F.col("_low")) / spread)
-    return hits.join(ends, GROUP).select(*GROUP, "row_id", scaled.alias(name))
+    """Scores scaled to 0..1 within each query and index; a group is a top-k list, and lies together already."""
+    group = Window.partitionBy(*GROUP)
+    low, spread = F.min("score").over(group), F.max("score").over(group) - F.min("score").over(group)
+    scaled = F.when(spread == 0, F.lit(1.0)).otherwise((F.col("score") - low) / spread)
+    return hits.select(*GROUP, "row_id", scaled.alias(name))
 
 
 def fuse(text_hits: DataFrame, vector_hits: DataFrame, k: int, weight: float = 0.5, fusion: str = "min_max") -> DataFrame:

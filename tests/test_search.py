@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from quillstream.operators import search
 from quillstream.plans import sizing
@@ -71,6 +71,7 @@ def test_knn_is_exact(vectors, queries):
 def test_knn_over_several_query_blocks_and_hand_overs(vectors, queries, monkeypatch):
     monkeypatch.setattr(search, "QUERY_BYTES", 200)
     monkeypatch.setattr(search, "KEPT_HITS", 3)
+    monkeypatch.setattr(search, "CELLS", 20)
     assert len(search._query_blocks(queries[1], DIM)) > 1
     assert_same(collected(search.knn_search(vectors[1], queries[1], K, DIM)), brute_force(vectors[0], queries[0]))
 
@@ -123,12 +124,21 @@ def test_bm25(spark):
     assert counts["a1", "fish"] == (2, 4) and counts["a4", "red"] == (3, 6) and len(counts) == 11
 
 
-def test_bm25_without_broadcast_gives_the_same(spark, monkeypatch):
+def test_bm25_in_blocks_and_tiles_gives_the_same(spark, monkeypatch):
     idx = spark.createDataFrame(TEXTS, "index_name string, row_id string, text string")
-    queries = spark.createDataFrame([(1, "Fish! red fish")], "query_id bigint, text string")
-    monkeypatch.setattr(search, "broadcast_if_small", lambda df: sizing.broadcast_if_small(df, limit=-1))
-    rows = search.bm25_search(idx, queries, 1).collect()
-    assert {(r["index_name"], r["row_id"]) for r in rows} == {("a", "a1"), ("b", "b1")}
+    queries = spark.createDataFrame([(1, "Fish! red fish"), (2, "one two"), (3, ""), (4, "bird fish")], "query_id bigint, text string")
+    wanted = collected(search.bm25_search(idx, queries, 2))
+    for name, value in {"QUERY_BYTES": 100, "CELLS": 1, "KEPT_HITS": 1, "LISTED_TERMS": 0}.items():
+        monkeypatch.setattr(search, name, value)
+    assert collected(search.bm25_search(idx, queries, 2)) == wanted
+    assert wanted.keys() == {(1, "a"), (1, "b"), (2, "a"), (4, "a"), (4, "b")}
+
+
+def test_bm25_ties_go_to_the_lower_id(spark):
+    rows = [("i", f"r{n:03}", "same words") for n in range(200)]
+    idx = spark.createDataFrame(rows, "index_name string, row_id string, text string").repartition(4)
+    queries = spark.createDataFrame([(1, "words")], "query_id bigint, text string")
+    assert [i for i, _ in collected(search.bm25_search(idx, queries, 3))[1, "i"]] == ["r000", "r001", "r002"]
 
 
 def test_fusion(spark):
@@ -173,7 +183,20 @@ def test_spread_shuffles_small_sources_only(spark, tmp_path, monkeypatch):
     assert sizing.spread(df, "id") is df
 
 
-def test_full_text_search_shuffles_only_scores(spark):
-    """Tokens and term counts stay where the text is."""
+def test_full_text_search_shuffles_only_the_best_of_each_task(spark):
+    """Tokens and term counts stay where the text is, and a task hands on at most k rows of each query and index."""
     idx = spark.createDataFrame(TEXTS, "index_name string, row_id string, text string")
     assert "Exchange" not in search.postings(idx)._jdf.queryExecution().executedPlan().toString()
+    terms = spark.createDataFrame([("fish",), ("red",)], "term string")
+    assert "Exchange" not in search.term_counts(idx, terms)._jdf.queryExecution().executedPlan().toString()
+    many = spark.range(3000).select(F.lit("i").alias("index_name"), F.concat(F.lit("r"), "id").alias("row_id"), F.lit("red fish").alias("text"))
+    counts = settle(search.term_counts(many.repartition(3), terms))
+    weights = search.term_weights(counts, terms.withColumn("query_id", F.lit(1)).withColumn("query_tf", F.lit(1))).collect()
+    found = search._score_texts(counts, T.IntegerType(), weights, 5, 1.2, 0.75)
+    assert found.count() <= 5 * counts.rdd.getNumPartitions()
+
+
+def test_lsh_multiplies_only_pairs_that_share_a_bucket():
+    tables, buckets = np.array([[0, 9], [1, 9]]), np.array([[0, 7], [1, 7], [2, 9], [0, 9], [3, 8]])
+    query, row = search._sharing_pairs(tables, buckets)
+    assert list(zip(query.tolist(), row.tolist())) == [(0, 0), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3)]
