@@ -58,11 +58,19 @@ def _field(name: str) -> str:
     return f"named_struct('kind', {kind}, 'text', CASE WHEN {kind} = 'string' THEN {value} END) AS `{name}`"
 
 
-_STATUS = """CASE
-  WHEN coalesce(_values, 0) <> 1 THEN 'bad_json'
-  WHEN _json IS NOT NULL OR _keys IS NOT NULL THEN 'ok'
-  WHEN _object THEN 'bad_json'
-  ELSE 'not_object' END AS json_status"""
+# An object is read as the first of two elements; the second one carries the value's hash, and comes out whole only if
+# the value ended where its object did. Values that cannot be read so are looked at once more.
+_STATUS = f"""CASE
+  WHEN octet_length(_value) > {VARIANT_BYTES} THEN CASE
+    WHEN coalesce(_values, 0) <> 1 THEN 'bad_json'
+    WHEN _keys IS NOT NULL THEN 'ok'
+    WHEN _object THEN 'bad_json'
+    ELSE 'not_object' END
+  WHEN _object THEN CASE
+    WHEN size(_pair) = 2 AND try_variant_get(get(_pair, 1).`{{end}}`, '$', 'string') = md5(_value) AND _json IS NOT NULL THEN 'ok'
+    ELSE 'bad_json' END
+  WHEN _values = 1 THEN 'not_object'
+  ELSE 'bad_json' END AS json_status"""
 
 
 def computed_once(df: DataFrame) -> DataFrame:
@@ -77,23 +85,28 @@ def computed_once(df: DataFrame) -> DataFrame:
 def decode_json(df: DataFrame, fields: Sequence[str], rank: int) -> DataFrame:
     """Replace `value` by one struct `<field>(kind, text)` per known field and by `json_status`.
 
-    `json_status` is `ok`, `bad_json` or `not_object`. Unknown fields are dropped. The value is parsed inside an
-    object and inside an array: each wrapping alone would let some trailing text pass, both together let none.
+    `json_status` is `ok`, `bad_json` or `not_object`. Unknown fields are dropped. A value that begins like an object and is
+    short enough for a variant is parsed once.
     """
     kept = [name for name in df.columns if name != "value"]
     kinds = ", ".join(f"`{name}`: variant" for name in fields)
     text = F.col("value").cast("string")
     if dict(df.dtypes)["value"] == "binary":
         text = F.when(F.is_valid_utf8(text), text)
-    parsed = df.select(*kept, text.alias("_value")).selectExpr(
-        *[f"`{name}`" for name in kept],
-        f"""from_json(concat('{{"v":', _value, '}}'), 'v struct<{kinds}>', {_OPTIONS}).v AS _json""",
-        f"size(from_json(concat('[', _value, ']'), 'array<string>', {_OPTIONS})) AS _values",
-        r"_value RLIKE '^[ \\t\\r\\n]*[{]' AS _object",
+    shaped = df.select(*kept, text.alias("_value")).selectExpr(
+        *[f"`{name}`" for name in kept], "_value", r"coalesce(_value RLIKE '^[ \\t\\r\\n]*[{]', false) AS _object"
+    )
+    short = f"_object AND octet_length(_value) <= {VARIANT_BYTES}"
+    pair = f"""concat('[', _value, ',{{"{fields[0]}":"', md5(_value), '"}}]')"""
+    read = shaped.selectExpr(
+        "*",
+        f"CASE WHEN {short} THEN from_json({pair}, 'array<struct<{kinds}>>', {_OPTIONS}) END AS _pair",
+        f"CASE WHEN NOT ({short}) THEN size(from_json(concat('[', _value, ']'), 'array<string>', {_OPTIONS})) END AS _values",
         *[f"{part} AS {name}" for name, part in _long_parts(fields).items()],
     )
+    parsed = read.selectExpr("*", "get(_pair, 0) AS _json")
     placed = parsed.withColumn("arrival", arrival(rank))
-    judged = placed.selectExpr("*", _STATUS)
+    judged = placed.selectExpr("*", _STATUS.format(end=fields[0]))
     # a value that is not one whole object has no fields, whatever part of it could be read
     return computed_once(judged.selectExpr(*[f"`{name}`" for name in kept], "arrival", "json_status", *map(_field, fields)))
 

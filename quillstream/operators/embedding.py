@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -10,7 +11,9 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from ..functions.arrow import FLUSH_CHARS, expand, vector_array
 from ..functions.models import Embedder, RetryPolicy, embed_document
 from ..functions.packing import check_window, chunk_spans
+from ..plans.sizing import broadcast_if_small
 from ..schemas import CHUNK_OVERLAP, CHUNK_SIZE, EMBEDDING_BATCH
+from ..session import settle
 
 _EMBEDDED = [
     T.StructField("embedding", T.ArrayType(T.FloatType())),
@@ -63,11 +66,13 @@ def embed(
 def complete_documents(chunks: DataFrame, key: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Keep only documents in which every chunk has a vector.
 
-    The key has to name one message, so that a group is one document and no larger. One pass, as a second look at
-    the rows would call the model again.
+    The chunks are settled, so that the model is called once; the keys of documents with a gap are then taken out, and
+    while these are few neither text nor vector is shuffled.
     """
-    whole = F.bool_and(F.col("embedding").isNotNull()).over(Window.partitionBy(*key))
-    return chunks.withColumn("_whole", whole).where("_whole").drop("_whole")
+    whole = settle(chunks)
+    gaps = broadcast_if_small(settle(whole.where(F.col("embedding").isNull()).select(*[F.col(name).alias(f"_{name}") for name in key]).distinct()))
+    same = reduce(lambda a, b: a & b, [whole[name].eqNullSafe(gaps[f"_{name}"]) for name in key])
+    return whole.join(gaps, same, "left_anti")
 
 
 def chunk_and_embed(

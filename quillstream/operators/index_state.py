@@ -92,7 +92,7 @@ def last_deletes(deletes: DataFrame) -> DataFrame:
 
 def apply_deletes(rows: DataFrame, deletes: DataFrame) -> DataFrame:
     """Drop rows that are older than a deletion of exactly their doc_id in their index."""
-    last = broadcast_if_small(last_deletes(deletes))
+    last = broadcast_if_small(settle(last_deletes(deletes)))
     return (
         rows.join(last, DOC_KEY, "left")
         .where(F.col("_deleted").isNull() | (F.col("arrival") > F.col("_deleted")))
@@ -100,9 +100,21 @@ def apply_deletes(rows: DataFrame, deletes: DataFrame) -> DataFrame:
     )
 
 
-def last_writes(log: DataFrame) -> DataFrame:
-    """Last accepted write of each document; a plain aggregate, so hot documents are combined before the shuffle."""
-    return log.groupBy(*DOC_KEY).agg(F.max("arrival").alias("_written"))
+def rewritten(log: DataFrame) -> DataFrame:
+    """Documents with writes of different arrival, and the last of these; reads keys only, and hot documents are combined
+    before the shuffle."""
+    writes = log.groupBy(*DOC_KEY).agg(F.min("arrival").alias("_first"), F.max("arrival").alias("_written"))
+    return writes.where("_first <> _written").drop("_first")
+
+
+def of_last_version(live: DataFrame, log: DataFrame, stale: bool = False) -> DataFrame:
+    """Rows of `live` that the last write of their document made, or those that it did not.
+
+    Only documents that were written more than once are looked for; while they are few, no row is shuffled.
+    """
+    marked = live.join(broadcast_if_small(settle(rewritten(log))), DOC_KEY, "left")
+    fresh = F.col("_written").isNull() | (F.col("arrival") == F.col("_written"))
+    return marked.where(~fresh if stale else fresh).select(*live.columns)
 
 
 def live_rows(log: DataFrame, deletes: DataFrame, replace_document: bool = False) -> DataFrame:
@@ -112,16 +124,13 @@ def live_rows(log: DataFrame, deletes: DataFrame, replace_document: bool = False
     """
     taken = stored(log)
     live = apply_deletes(latest_rows(taken), deletes)
-    if replace_document:
-        live = live.join(last_writes(taken), DOC_KEY).where(F.col("arrival") == F.col("_written")).select(*live.columns)
-    return live
+    return of_last_version(live, taken) if replace_document else live
 
 
 def stale_chunks(log: DataFrame, deletes: DataFrame) -> DataFrame:
     """Live rows left over from an older version of their document."""
     taken = stored(log)
-    live = apply_deletes(latest_rows(taken), deletes)
-    return live.join(last_writes(taken), DOC_KEY).where(F.col("arrival") < F.col("_written")).select(*live.columns)
+    return of_last_version(apply_deletes(latest_rows(taken), deletes), taken, stale=True)
 
 
 def deleted_rows(deletes: DataFrame, writes: DataFrame) -> DataFrame:

@@ -6,13 +6,15 @@ changes nothing. Readers see a batch only once its commit row is there.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.ids import index_kind
-from ..operators.index_state import DOC_KEY, apply_deletes, deletion_outcomes, last_writes, latest_stored_rows, stored
+from ..operators.index_state import apply_deletes, deletion_outcomes, latest_stored_rows, of_last_version, stored
+from ..operators.search import filter_index
 from ..schemas import DELETES, INDEX_ROW, OUTCOME, REGISTRY
 
 _BATCH = T.StructField("batch_id", T.LongType())
@@ -101,8 +103,11 @@ class ChangeLog:
         lowest = self._read("registry").agg(F.min("batch_id")).first()[0]
         self.write("registry", min(0, lowest if lowest is not None else 0) - 1, rows)
 
-    def live(self, replace_document: bool = False) -> DataFrame:
-        """The index as it stands: the last snapshot and the batches after it."""
+    def live(self, replace_document: bool = False, index_name: str | None = None, doc_ids: Sequence[str] | None = None) -> DataFrame:
+        """The index as it stands: the last snapshot and the batches after it.
+
+        `index_name` and `doc_ids` narrow rows and deletions where they are read, before keys are compared.
+        """
         base = self._last("compactions")
         columns = [f.name for f in INDEX_ROW.fields]
         # with the batch, as a message that was delivered again is told from the first by nothing else
@@ -110,11 +115,13 @@ class ChangeLog:
         parts = [recent]
         if base >= 0:
             parts.append(self.batch("snapshot", base).select(*columns, "batch_id"))
-        rows = reduce(DataFrame.unionByName, parts)
-        live = apply_deletes(latest_stored_rows(rows), self.read("deletes")).select(*columns)
+        wanted = {"index_name": index_name, "doc_id": None if doc_ids is None else list(doc_ids)}
+        wanted = {name: value for name, value in wanted.items() if value is not None}
+        rows = filter_index(reduce(DataFrame.unionByName, parts), **wanted)
+        live = apply_deletes(latest_stored_rows(rows), filter_index(self.read("deletes"), **wanted)).select(*columns)
         if replace_document:
             # the last write of a document is in the snapshot or after it, unless all of the document was deleted
-            live = live.join(last_writes(rows), DOC_KEY).where(F.col("arrival") == F.col("_written")).select(*columns)
+            live = of_last_version(live, rows)
         return live
 
     def compact(self, files: int | None = None) -> None:
