@@ -541,6 +541,16 @@ FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FR
         *log(SMALL),
         select="""SELECT index_name, row_id, CAST(n_words AS INTEGER) AS n_words, text_md5 FROM latest
   WHERE (index_name, doc_id) IN (SELECT (index_name, doc_id) FROM deletions WHERE len(errors) = 0)""",
+    ),
+    "lookup_one_doc": with_(
+        *log(SMALL),
+        select="""SELECT index_name, row_id, CAST(n_words AS INTEGER) AS n_words, text_md5 FROM latest
+  WHERE index_name = 'user_chat_topic' AND doc_id = concat('conv-', (SELECT max(conv_id) FROM conversations))""",
+    ),
+    "index_head_of_one": with_(
+        *INDEX,
+        select=f"""SELECT index_name, row_id, md5(text) AS text_md5 FROM idx
+  WHERE index_name = (SELECT min(index_name) FROM idx) ORDER BY row_id LIMIT {K}""",
     ),
     "index_head": with_(
         *INDEX,

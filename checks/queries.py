@@ -477,10 +477,11 @@ def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> ChangeLog:
-    """All messages through the file source and the streaming ingest."""
+    """All messages through the file source and the streaming ingest, documents in batches of four files."""
     configure(spark)
+    documents = _through_source(spread(derived.document_messages(spark, sf_dir), "partition", "offset"))
     sources = Sources(
-        documents=_through_source(spread(derived.document_messages(spark, sf_dir), "partition", "offset")),
+        documents=replace(documents, options={"maxFilesPerTrigger": "4"}),
         deletions=_through_source(derived.deletion_messages(spark, sf_dir)),
         creations=_through_source(derived.creation_messages(spark, sf_dir)),
     )
@@ -578,6 +579,21 @@ def lookup_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.lookup_docs(rows, state.deletes).select("index_name", "row_id", "n_words", text_md5())
 
 
+def lookup_one_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of the last conversation."""
+    state = replayed(spark, sf_dir, SMALL)
+    rows = index_state.latest_rows(index_state.stored(state.rows()))
+    last = table(spark, sf_dir, "conversations").agg(F.max("conv_id")).first()[0]
+    return search.lookup_doc(rows, "user_chat_topic", f"conv-{last}").select("index_name", "row_id", "n_words", text_md5())
+
+
+def index_head_of_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First rows of the first index."""
+    rows = text_index(spark, sf_dir).select("index_name", "row_id", "text")
+    first = rows.agg(F.min("index_name")).first()[0]
+    return search.index_head(rows, first, K).select("index_name", "row_id", text_md5())
+
+
 def index_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = text_index(spark, sf_dir).select("index_name", "row_id", "text")
     return search.index_heads(rows, K).select("index_name", "row_id", text_md5(), "position")
@@ -636,5 +652,7 @@ QUERIES = {
     "hybrid_search_rrf": hybrid_search_rrf,
     "filtered_search": filtered_search,
     "lookup_doc": lookup_docs,
+    "lookup_one_doc": lookup_one_doc,
+    "index_head_of_one": index_head_of_one,
     "index_head": index_head,
 }

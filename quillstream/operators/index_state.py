@@ -12,8 +12,11 @@ from ..session import settle
 DOC_KEY = ["index_name", "doc_id"]
 
 
-def to_index_rows(rows: DataFrame) -> DataFrame:
-    """Chunk rows in the shape of the index: system indices keep `upload_time`, others `user_id` and `user_upload_time`."""
+def to_index_rows(rows: DataFrame, *keep: str) -> DataFrame:
+    """Chunk rows in the shape of the index: system indices keep `upload_time`, others `user_id` and `user_upload_time`.
+
+    `keep` names further columns to hand on.
+    """
     system = index_kind(F.col("index_name")) == "system"
     shaped = rows.select(
         "index_name",
@@ -32,8 +35,9 @@ def to_index_rows(rows: DataFrame) -> DataFrame:
         "error",
         "arrival",
         F.create_map().cast("map<string,string>").alias("metadata"),
+        *keep,
     )
-    return shaped.select(*[F.col(f.name).cast(f.dataType) for f in INDEX_ROW.fields])
+    return shaped.select(*[F.col(f.name).cast(f.dataType) for f in INDEX_ROW.fields], *keep)
 
 
 def stored(log: DataFrame) -> DataFrame:

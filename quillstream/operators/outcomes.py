@@ -42,6 +42,11 @@ def missing_index_outcomes(docs: DataFrame) -> DataFrame:
     )
 
 
+def unrouted_outcomes(rows: DataFrame) -> DataFrame:
+    """Outcomes of documents that went to no index, from their marker rows."""
+    return _outcome(rows, F.col("doc_id"), F.col("index_name"), F.col("status"), F.col("reason"), F.lit(0))
+
+
 def document_outcomes(rows: DataFrame) -> DataFrame:
     """Outcomes of routed documents, from the rows and marker rows that chunking and embedding left."""
     ok = F.col("chunk_id").isNotNull() & F.col("error").isNull()

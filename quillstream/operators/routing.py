@@ -62,6 +62,16 @@ def route_missing(docs: DataFrame, registry: DataFrame) -> DataFrame:
     return docs.join(known, condition, "left_anti")
 
 
+def route_all(docs: DataFrame, registry: DataFrame) -> DataFrame:
+    """All documents in one pass: `status` is `rejected`, `missing_index`, or NULL for a document that goes to its index, and
+    only these keep their text; `reason` has the errors, `index_dim` the dimension."""
+    known, condition = _known(docs, registry, "dim")
+    joined = docs.join(known, condition, "left")
+    status = F.when(F.size("errors") > 0, F.lit("rejected")).when(F.col("_index").isNull(), F.lit("missing_index"))
+    columns = [F.when(status.isNull(), F.col("text")).alias("text") if name == "text" else docs[name] for name in docs.columns if name != "errors"]
+    return joined.select(*columns, F.col("errors").alias("reason"), status.alias("status"), F.col("dim").alias("index_dim"))
+
+
 def system_ready(registry: DataFrame, topics: str = SYSTEM_TOPICS) -> DataFrame:
     """One row by system index: is it in the registry?"""
     wanted = seed_system_indices(registry.sparkSession, topics).select("index_name")

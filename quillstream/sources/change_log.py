@@ -22,6 +22,8 @@ _KEYED_ROW = T.StructType(
     [T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType())]
     + [T.StructField("offset", T.LongType())]
     + INDEX_ROW.fields
+    # of marker rows for documents that went to no index
+    + [T.StructField("status", T.StringType()), T.StructField("reason", T.ArrayType(T.StringType()))]
 )
 SCHEMAS = {
     "rows": _KEYED_ROW,

@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..schemas import CREATIONS_TOPIC, DELETIONS_TOPIC, DOCUMENTS_TOPIC, ENVELOPE
 
 
+# Most that one batch of a stream takes from a source; the rest comes in the next batches, so a backlog of any size is
+# worked off in batches of bounded size. Options of the source override them.
+OFFSETS_PER_TRIGGER = 1_000_000
+FILES_PER_TRIGGER = 1_000
+
+
 @dataclass(frozen=True)
 class MessageSource:
     """Where one topic is read from.
@@ -33,11 +39,15 @@ def kafka(servers: str, group_prefix: str | None = None, **options: str) -> Mess
 def read_messages(spark: SparkSession, source: MessageSource, topic: str, streaming: bool = False) -> DataFrame:
     """Envelope rows of one topic, from the earliest message on."""
     reader = spark.readStream if streaming else spark.read
+    limit = {}
+    if streaming and not any(name.lower().startswith("max") and name.lower().endswith("pertrigger") for name in source.options):
+        kafka_limit = {"maxOffsetsPerTrigger": str(OFFSETS_PER_TRIGGER)}
+        limit = kafka_limit if source.format == "kafka" else {"maxFilesPerTrigger": str(FILES_PER_TRIGGER)}
     if source.format == "kafka":
-        options = {"subscribe": topic, "startingOffsets": "earliest", **source.options}
+        options = {"subscribe": topic, "startingOffsets": "earliest", **limit, **source.options}
         raw = reader.format("kafka").options(**options).load()
         return raw.select("topic", "partition", "offset", "timestamp", "value")
-    raw = reader.format(source.format).schema(ENVELOPE).options(**source.options).load(source.path)
+    raw = reader.format(source.format).schema(ENVELOPE).options(**limit, **source.options).load(source.path)
     return raw.withColumn("topic", F.lit(topic))
 
 

@@ -16,7 +16,7 @@ from ..operators import outcomes as O
 from ..operators.decode import decode_creations, decode_deletions, decode_documents
 from ..operators.embedding import check_dim, chunk_and_embed
 from ..operators.index_state import to_index_rows
-from ..operators.routing import create_indices, route_existing, route_missing, seed_system_indices
+from ..operators.routing import create_indices, route_all, seed_system_indices
 from ..plans.sizing import broadcast_if_small
 from ..operators.validate import (
     accepted,
@@ -63,11 +63,12 @@ def parsed_documents(messages: DataFrame, settings: IngestSettings) -> DataFrame
 
 
 def ingest_rows(docs: DataFrame, settings: IngestSettings) -> DataFrame:
-    """Index rows and marker rows of valid, routed documents, with their message key."""
+    """Index rows and marker rows of documents with their dimension, and their message key; `status` and `reason` are kept
+    where documents have them."""
     made = chunk_and_embed(
         with_upload_time(docs), settings.factory(), settings.size, settings.overlap, settings.batch_size, settings.retry
     )
-    rows = to_index_rows(check_dim(made, "index_dim"))
+    rows = to_index_rows(check_dim(made, "index_dim"), *[name for name in ("status", "reason") if name in docs.columns])
     return rows.select(
         F.lit(DOCUMENTS_TOPIC).alias("topic"),
         F.col("arrival.partition").alias("partition"),
@@ -79,20 +80,21 @@ def ingest_rows(docs: DataFrame, settings: IngestSettings) -> DataFrame:
 def apply_batch(messages: DataFrame, batch_id: int, log: ChangeLog, settings: IngestSettings) -> None:
     """Bring one batch of messages of all topics into the change log; the same batch again changes nothing.
 
-    Creations take effect before documents and deletes come last for equal times, by the arrival order. Embedding
-    runs once: outcomes are read back from the rows just written.
+    Creations take effect before documents and deletes come last for equal times, by the arrival order. Documents are
+    looked at once, in a pass that leaves rows of what was stored and marker rows of everything else; outcomes are read
+    back from the narrow columns of that. Only creations and deletions, which carry no text, are kept at hand.
     """
     creations = validate_index_creations(decode_creations(messages.where(F.col("topic") == CREATIONS_TOPIC)))
     deletions = validate_deletions(decode_deletions(messages.where(F.col("topic") == DELETIONS_TOPIC)))
     documents = parsed_documents(messages.where(F.col("topic") == DOCUMENTS_TOPIC), settings)
-    # Each is used several times below; a lost block is parsed again from the source.
-    parsed = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (creations, deletions, documents)]
+    # a lost block is parsed again from the source
+    parsed = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (creations, deletions)]
     try:
         log.write("registry", batch_id, create_indices(log.registry(batch_id - 1), accepted(creations), settings.dim))
-        registry = log.registry(batch_id)
+        registry = settle(log.registry(batch_id))
         log.write("deletes", batch_id, accepted(deletions))
-        log.write("rows", batch_id, ingest_rows(route_existing(accepted(documents), registry), settings))
-
+        log.write("rows", batch_id, ingest_rows(route_all(documents, registry), settings))
+        rows = log.batch("rows", batch_id)
         log.write(
             "outcomes",
             batch_id,
@@ -101,9 +103,8 @@ def apply_batch(messages: DataFrame, batch_id: int, log: ChangeLog, settings: In
                 O.creation_outcomes(accepted(creations), registry),
                 O.rejected_outcomes(rejected(deletions)),
                 O.accepted_deletion_outcomes(accepted(deletions), registry),
-                O.rejected_outcomes(rejected(documents)),
-                O.missing_index_outcomes(route_missing(accepted(documents), registry)),
-                O.document_outcomes(log.batch("rows", batch_id)),
+                O.unrouted_outcomes(rows.where(F.col("status").isNotNull())),
+                O.document_outcomes(rows.where(F.col("status").isNull())),
             ),
         )
         log.commit(batch_id)

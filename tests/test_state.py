@@ -295,3 +295,26 @@ def test_a_creation_after_its_documents_comes_too_late(spark, tmp_path):
     apply_batch(envelope(spark, "index_creations", [(0, creation("user_1_topic"))]), 1, log, SETTINGS)
     assert log.live().count() == 0
     assert [r["status"] for r in log.read("outcomes").where("topic = 'documents'").collect()] == ["missing_index"]
+
+
+def test_a_backlog_is_worked_off_in_bounded_batches(spark, tmp_path, monkeypatch):
+    import quillstream.sources.messages as messages
+
+    found = sources(spark, tmp_path, [(0, 12), (12, 23), (23, 99)])
+    monkeypatch.setattr(messages, "FILES_PER_TRIGGER", 2)
+    unlimited = [MessageSource(s.format, s.path) for s in (found.documents, found.deletions, found.creations)]
+    backfill(spark, Sources(*unlimited), str(tmp_path / "out"), str(tmp_path / "offsets"), SETTINGS)
+    log = ChangeLog(spark, str(tmp_path / "out"))
+    assert log._last("commits") == 1
+    assert shown(log.live()) == LIVE
+    assert summary(log.read("outcomes")) == SUMMARY
+
+
+def test_a_narrow_read_filters_before_keys_are_compared(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "out"))
+    prepare(log, SETTINGS)
+    documents, deletions, creations = all_messages(spark)
+    apply_batch(documents.unionByName(deletions).unionByName(creations), 0, log, SETTINGS)
+    narrow = log.live(index_name="user_1_topic", doc_ids=["shrinks", "deleted"])
+    assert shown(narrow) == {row for row in LIVE if row[1].startswith("shrinks")}
+    assert "PushedFilters: [IsNotNull(index_name), " in narrow._jdf.queryExecution().toString().replace("EqualTo(index_name,user_1_topic), ", "")
