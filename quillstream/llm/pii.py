@@ -8,7 +8,8 @@ For disguised ones the text goes through transducers, rules that rewrite parts o
     homoglyphs      look-alike letters, digits, full stops and at signs become ASCII; invisible characters vanish
     spelled digits  runs of number words (English, German, French, Spanish) and digits, four digits at least, become
                     digits; "dot" or "point" between them a full stop, "plus" before them a plus sign
-    at and dot      "(at)", "[dot]" and their like become signs; bare words only in the shape of a whole address
+    at and dot      "(at)", "[dot]" and their like become signs; bare words only in the shape of a whole address: with a bare
+                    "dot" as well, or behind a name with a digit or a sign in it
 
 The same detectors run over the rewritten text, and each span is mapped back to the source characters it was made of. A
 found span is added if it overlaps no plain one of its kind; plain ones always stay. Most texts are rewritten by no rule
@@ -191,7 +192,8 @@ _BARE_DOT = rf"\s{{1,3}}(?:{_DOTS})\s{{1,3}}"
 _BARE = re.compile(
     rf"(?i)(?:(?<=[A-Za-z0-9._%+-])\s{{1,3}}(?:at|arroba)\s{{1,3}}|@){_LABEL}(?:(?:{_BARE_DOT}|\.){_LABEL})*?{_BARE_DOT}[A-Za-z]{{2,24}}\b"
 )
-_BARE_LOCAL_DOT = re.compile(rf"(?i){_BARE_DOT}$")
+# name AT host.com; the name has to look like one, see `_looks_like_name`
+_BARE_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])\s{{1,3}}(?:at|arroba)\s{{1,3}}(?=(?:{_LABEL}\.)+[A-Za-z]{{2,24}}\b)")
 _BARE_SIGN = re.compile(rf"(?i)(?P<at>\s{{1,3}}(?:at|arroba)\s{{1,3}})|(?P<dot>{_BARE_DOT})")
 _MAYBE_BARE = re.compile(rf"(?i)\s(?:{_DOTS})\s")
 _MAYBE_MARKED = re.compile(rf"(?i){_OPEN}\s{{0,3}}(?:at|@|arroba|{_DOTS}|\.)\s{{0,3}}{_CLOSE}")
@@ -287,12 +289,20 @@ def sign_edits(text: str) -> list[Edit]:
     return edits
 
 
+def _looks_like_name(text: str, stop: int) -> bool:
+    """Whether the local part that ends at `stop` holds a digit or a sign, as no word before a plain "at" does."""
+    start = stop
+    while start > 0 and stop - start < 64 and text[start - 1] in _LOCAL:
+        start -= 1
+    return not text[start:stop].strip(".-").isalpha()
+
+
 def bare_sign_edits(text: str) -> list[Edit]:
-    edits: list[Edit] = []
+    edits: list[Edit] = [(m.start(), m.end(), "@") for m in _BARE_AT.finditer(text) if _looks_like_name(text, m.start())]
     if _MAYBE_BARE.search(text):
         for m in _BARE.finditer(text):
             edits += [(m.start() + s.start(), m.start() + s.end(), "@" if s.group("at") else ".") for s in _BARE_SIGN.finditer(m.group())]
-    return edits
+    return sorted(set(edits))
 
 
 def normalise(text: str) -> Rewritten | None:

@@ -46,6 +46,8 @@ wide = "".join(chr(0xFF10 + int(d)) for d in "4012888888881881")
 DISGUISED = [
     ("write john.doe at example dot com now", [("email", "john.doe at example dot com")]),
     ("john [at] example (dot) org!", [("email", "john [at] example (dot) org")]),
+    ("ask jane.d7 at mail3.example.com now, look at example.com", [("email", "jane.d7 at mail3.example.com")]),
+    ("ask jane [at] host dot co.uk", [("email", "jane [at] host dot co.uk")]),
     ("(jane(at)host.org)", [("email", "jane(at)host.org")]),
     (f"x jo{chr(0x200B)}hn@ex{chr(0x430)}mple.com y", [("email", f"jo{chr(0x200B)}hn@ex{chr(0x430)}mple.com")]),
     (f"j{chr(0xFF20)}b{chr(0xFF0E)}de", [("email", f"j{chr(0xFF20)}b{chr(0xFF0E)}de")]),
