@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quillstream.functions.arrow import expand
 from quillstream.session import settle
 
-from .common import drop_rows, ints, keep_rows, row_key, rows_of, small, text_of
+from .common import drop_rows, ints, keep_rows, row_key, rows_of, small
 
 CHUNK_BYTES = 4096  # of a hash: 255 * 2**31 * 4096 is exact in a double
 COMPARED_BYTES = 64 << 10  # of a comparison

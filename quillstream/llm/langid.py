@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillstream.session import settle
 
-from .common import row_key, rows_of
+from .common import row_key, rows_of, small
 
 PER_LANGUAGE = 400  # training texts of each language
 LANDMARKS = 32  # of them, of each language
@@ -136,8 +136,7 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[t
             numbers = pa.array([g.tobytes() for g in found], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), numbers], names=["lang", "order", "grams"])
 
-    # at most `per_language` hashes of each language, so the broadcast is bounded
-    texts = labelled.select("lang", F.xxhash64("text").alias("order"), "text").join(F.broadcast(chosen), ["lang", "order"], "left_semi")
+    texts = labelled.select("lang", F.xxhash64("text").alias("order"), "text").join(small(chosen), ["lang", "order"], "left_semi")
     sets = settle(texts.mapInArrow(run, "lang string, order bigint, grams binary")).dropDuplicates(["lang", "order"])
     rows = sets.orderBy("lang", "order").collect()
     return [(row.lang, np.frombuffer(row.grams, dtype=np.int32)) for row in rows]
