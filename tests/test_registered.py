@@ -9,7 +9,10 @@ from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # the rest runs with `python -m checks.compare`
-NAMES = ("decode_messages", "parse_upload_time", "chunk_documents_small", "index_rows", "replace_document", "knn_lsh", "hybrid_search")
+NAMES = (
+    "decode_messages", "parse_upload_time", "chunk_documents_small", "embedding_batches", "index_rows", "replace_document",
+    "deletion_outcomes", "redelivered_index", "dim_report", "system_indices_ready", "bm25_search", "knn_lsh", "hybrid_search",
+)
 
 
 def test_every_query_has_sql():
