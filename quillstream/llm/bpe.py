@@ -17,7 +17,6 @@ import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -32,8 +31,9 @@ from .common import ints, rows_of, text_of
 CACHE_PIECES = 150_000  # per generation and task; two generations are kept
 
 # What the file's white space means beyond Python's str.split, which also cuts at U+001C to U+001F.
-_CONTROL_SEPARATORS = regex.compile("[\x1c-\x1f]")
-_SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
+_CONTROL_SEPARATORS = regex.compile("[" + "".join(map(chr, range(0x1C, 0x20))) + "]")
+_SPACES = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_SPACE = regex.compile("[" + "".join(map(chr, _SPACES)) + "]+")
 _NONE = np.int64(1 << 40)
 
 
@@ -185,29 +185,52 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
+class _Young(dict):
+    """A dictionary that notes what it was asked for in vain."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.missing: set[str] = set()
+
+    def __missing__(self, piece: str) -> None:
+        self.missing.add(piece)
+
+
 class PieceCache:
     """What was made of each piece, in two generations: when the young one is full, the old one goes."""
 
     def __init__(self, make: Callable[[set[str]], dict[str, Any]], limit: int = CACHE_PIECES) -> None:
         self.make, self.limit = make, limit
-        self.young: dict[str, Any] = {}
-        self.old: dict[str, Any] = {}
-
-    def of(self, pieces: list[str]) -> dict[str, Any]:
-        """A dictionary that holds all of `pieces`."""
-        young = self.young
-        missing = set(pieces).difference(young)
+        self.young, self.old = _Young(), {}
+
+    def peek(self, piece: str) -> Any:
+        """What was made of a piece, None if it is not at hand."""
+        found = self.young.get(piece)
+        return self.old.get(piece) if found is None else found
+
+    def of(self, lists: list[list[str]]) -> list[list[Any]]:
+        """What was made of each piece of several lists; new pieces of all lists are made together."""
+        young, found, gaps = self.young, [], []
+        for i, pieces in enumerate(lists):
+            known = len(young.missing)
+            found.append(list(map(young.__getitem__, pieces)))
+            if len(young.missing) > known or known and not young.missing.isdisjoint(pieces):
+                gaps.append(i)
+        missing, young.missing = young.missing, set()
         if missing:
             if len(young) + len(missing) > self.limit and young:
-                self.old, self.young = young, {}
-                young, missing = self.young, set(pieces)
-            known = missing.intersection(self.old)
-            for piece in known:
-                young[piece] = self.old[piece]
-            missing -= known
-            if missing:
-                young.update(self.make(missing))
-        return young
+                self.old, self.young = young, _Young()
+                young, gaps = self.young, list(range(len(lists)))
+                missing = {piece for pieces in lists for piece in pieces}
+            old = self.old
+            fresh = {piece for piece in missing if piece not in old}
+            if fresh:
+                young.update(self.make(fresh))
+            for piece in missing.difference(fresh):
+                young[piece] = old[piece]
+            for i in gaps:
+                found[i] = list(map(young.__getitem__, lists[i]))
+        return found
 
 
 def _entries(table: Merges) -> Callable[[set[str]], dict[str, tuple[str, str]]]:
@@ -224,12 +247,16 @@ def _entries(table: Merges) -> Callable[[set[str]], dict[str, tuple[str, str]]]:
     return make
 
 
+@lru_cache(maxsize=2)
+def _worker_cache(path: str) -> PieceCache:
+    """One for each Python worker, which goes on to later tasks."""
+    return PieceCache(_entries(merges(path)))
+
+
 def encode_texts(texts: list[str], cache: PieceCache) -> Iterator[tuple[int, str, str]]:
     """Per text: number of ids, ids as decimals, and the decoded text (tokens with a space between: the file has no decoder)."""
     pieces = [split_spaces(text.lower() if text.isascii() and "<" not in text else text) for text in texts]
-    known = cache.of(list(chain.from_iterable(pieces)))
-    for own in pieces:
-        found = list(map(known.__getitem__, own))
+    for found in cache.of(pieces):
         ids = " ".join([entry[0] for entry in found])
         yield ids.count(" ") + 1 if found else 0, ids, " ".join([entry[1] for entry in found])
 
@@ -241,7 +268,7 @@ def encode(docs: DataFrame, path: str, texts: bool = True, digests: bool = False
     schema += ", ids_sha256 string, decoded_sha256 string" if digests else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = PieceCache(_entries(merges(path)))
+        cache = _worker_cache(path)
         for batch in rows_of(batches):
             found = list(encode_texts(batch.column(1).to_pylist(), cache))
             columns = [batch.column(0), ints([n for n, _, _ in found])]

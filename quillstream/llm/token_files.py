@@ -25,6 +25,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +39,13 @@ from tokenizers import Tokenizer
 from quillstream.plans.sizing import source_bytes
 from quillstream.session import checkpoint_folder, settle
 
-from .bpe import Merges, PieceCache, byte_symbols, merges, split_spaces
+from .bpe import PieceCache, byte_symbols, merges, split_spaces
 from .common import ints, rows_of, text_of
 
 END_ID = 1
 FRAME_IDS = 1 << 16
 FILE_BYTES = 64 << 20  # of source for each file, at least as many files as shuffle partitions
-CACHE_PIECES = 250_000
+CACHE_PIECES = 400_000
 
 # Fixed values of the zstandard seekable format.
 INDEX_MAGIC, SEEK_MAGIC, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -168,37 +169,42 @@ class TokenReader:
         return found + [place for a, b in zip(first.tolist(), last.tolist()) for place in range(a, b)]
 
 
-def _piece_ids(table: Merges, model, width: int) -> Callable[[set[str]], dict[str, bytes]]:
-    symbols = byte_symbols()
-    mark = {byte: symbol for byte, symbol in enumerate(symbols)}
-    kind = f"<u{width}"
+class _WordIds:
+    """Ids of words by the library's model, as bytes of the file's width."""
 
-    def of_word(word: str | int) -> bytes:
+    def __init__(self, path: str, width: int) -> None:
+        self.table, self.model, self.kind = merges(path), Tokenizer.from_file(path).model, f"<u{width}"
+        self.symbol = byte_symbols()
+
+    def of_word(self, word: str | int) -> bytes:
         if isinstance(word, int):
-            return np.array([word], kind).tobytes()
-        mapped = word if word.isascii() else "".join(map(mark.__getitem__, word.encode()))
-        if word.isascii() and not word.isprintable():
-            mapped = "".join(map(mark.__getitem__, word.encode()))
-        return np.array([token.id for token in model.tokenize(mapped)], kind).tobytes()
+            return np.array([word], self.kind).tobytes()
+        plain = word.isascii() and word.isprintable()  # then its characters stand for themselves
+        mapped = word if plain else "".join([self.symbol[byte] for byte in word.encode()])
+        return np.array([token.id for token in self.model.tokenize(mapped)], self.kind).tobytes()
 
-    def make(pieces: set[str]) -> dict[str, bytes]:
+    def of_pieces(self, pieces: set[str], peek: Callable[[str], bytes | None]) -> dict[str, bytes]:
+        """`peek` gives what is known already: a word alone is a piece of its own."""
         words: dict[str | int, bytes] = {}
         out = {}
         for piece in pieces:
             parts = []
-            for word in table.special_words(piece):
+            for word in self.table.special_words(piece):
                 found = words.get(word)
                 if found is None:
-                    found = words[word] = of_word(word)
+                    found = (peek(word) if isinstance(word, str) else None) or self.of_word(word)
+                    words[word] = found
                 parts.append(found)
             out[piece] = parts[0] if len(parts) == 1 else b"".join(parts)
         return out
 
-    return make
-
 
-def library_model(path: str):
-    return Tokenizer.from_file(path).model
+@lru_cache(maxsize=1)
+def _worker_cache(path: str, width: int) -> PieceCache:
+    """One for each Python worker, which goes on to later tasks."""
+    ids = _WordIds(path, width)
+    cache = PieceCache(lambda pieces: ids.of_pieces(pieces, cache.peek), CACHE_PIECES)
+    return cache
 
 
 def write_token_files(docs: DataFrame, path: str, folder: str | None = None) -> DataFrame:
@@ -213,7 +219,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str | None = None) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, name = None, f"{root}/{TaskContext.get().partitionId():07d}-{uuid.uuid4().hex}.tokens"
-        cache = PieceCache(_piece_ids(merges(path), library_model(path), width), CACHE_PIECES)
+        cache = _worker_cache(path, width)
         for batch in rows_of(batches):
             if writer is None and batch.num_rows:
                 store, local = open_fs(name)
@@ -222,10 +228,9 @@ def write_token_files(docs: DataFrame, path: str, folder: str | None = None) ->
             texts = batch.column(1).to_pylist()
             pieces = [split_spaces(text.lower() if text.isascii() and "<" not in text else text) for text in texts]
             for start in range(0, len(pieces), 64):
-                some = pieces[start : start + 64]
-                known = cache.of([piece for own in some for piece in own])
-                for doc_id, own in zip(batch.column(0)[start : start + 64].to_pylist(), some):
-                    writer.add(doc_id, b"".join(map(known.__getitem__, own)) + end)
+                found = cache.of(pieces[start : start + 64])
+                for doc_id, own in zip(batch.column(0)[start : start + 64].to_pylist(), found):
+                    writer.add(doc_id, b"".join(own) + end)
         if writer is None:
             return
         writer.close()
