@@ -48,12 +48,11 @@ def counted(text: Column, tokenizer: str) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(COUNTERS[tokenizer])).cast("bigint")
 
 
-def changes(docs: DataFrame, op: str, seq: int, tokenizers: list[str], text: Column | None = None) -> DataFrame:
-    """One event for each document and tokenizer version."""
-    body = F.col("text") if text is None else text
-    events = F.array(*[F.struct(F.lit(name).alias("tokenizer"), (counted(body, name) if op != "delete" else F.lit(0).cast("bigint")).alias("n_tokens")) for name in tokenizers])
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "lang", F.explode(events).alias("event"))
-    return rows.select("doc_id", "event.tokenizer", F.lit(seq).cast("bigint").alias("seq"), F.lit(op).alias("op"), "source", "lang", "event.n_tokens")
+def changes(rows: DataFrame, op: str, seq: int, counts: dict[str, Column]) -> DataFrame:
+    """One event for each of rows(doc_id, source, lang, ...) and tokenizer version, with its count."""
+    events = F.array(*[F.struct(F.lit(name).alias("tokenizer"), count.cast("bigint").alias("n_tokens")) for name, count in counts.items()])
+    each = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "lang", F.explode(events).alias("event"))
+    return each.select("doc_id", "event.tokenizer", F.lit(seq).cast("bigint").alias("seq"), F.lit(op).alias("op"), "source", "lang", "event.n_tokens")
 
 
 def _same_key(left: DataFrame, right: DataFrame) -> Column:
@@ -143,14 +142,25 @@ class TokenRollup:
 def recount(rollup: TokenRollup, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """A corpus's life in four batches: all documents come in; toxic ones go; those of low quality are cleaned of digits
     and counted anew, by a newer version of one tokenizer; then two of the batches are delivered again."""
-    marks = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    rows = docs.select("doc_id", "source", "lang", "text")
-    toxic = rows.drop("text").join(marks.filter("toxic = 1"), "doc_id", "left_semi")
+    # texts are counted where they are, as they came and cleaned; only counts meet the labels
+    text, cleaned = F.col("text"), F.regexp_replace("text", "[0-9]+", "")
+    rows = settle(
+        docs.select(
+            "doc_id", "source", "lang", counted(text, "space-1").alias("space"), counted(text, "alnum-1").alias("alnum"),
+            counted(cleaned, "space-1").alias("cleaned_space"), counted(cleaned, "alnum-2").alias("cleaned_alnum"),
+        )
+    )
+    marks = settle(labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality")))
+    toxic = rows.join(marks.filter("toxic = 1"), "doc_id", "left_semi")
     poor = rows.join(marks.filter("quality = 0 and toxic = 0"), "doc_id", "left_semi")
-    cleaned = F.regexp_replace("text", "[0-9]+", "")
-    removed = changes(toxic, "delete", 2, ["space-1", "alnum-1"])
-    revised = changes(poor, "revise", 3, ["space-1"], cleaned).unionByName(changes(poor.drop("text"), "delete", 3, ["alnum-1"])).unionByName(changes(poor, "insert", 3, ["alnum-2"], cleaned))
-    rollup.commit(0, changes(rows, "insert", 1, ["space-1", "alnum-1"]))
+    none = F.lit(0)
+    removed = changes(toxic, "delete", 2, {"space-1": none, "alnum-1": none})
+    revised = (
+        changes(poor, "revise", 3, {"space-1": F.col("cleaned_space")})
+        .unionByName(changes(poor, "delete", 3, {"alnum-1": none}))
+        .unionByName(changes(poor, "insert", 3, {"alnum-2": F.col("cleaned_alnum")}))
+    )
+    rollup.commit(0, changes(rows, "insert", 1, {"space-1": F.col("space"), "alnum-1": F.col("alnum")}))
     rollup.commit(1, removed)
     rollup.commit(2, revised)
     rollup.commit(1, removed)  # committed before: nothing happens

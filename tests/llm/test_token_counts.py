@@ -82,13 +82,13 @@ def test_a_broken_batch_is_written_anew(spark, tmp_path, monkeypatch):
 
 def test_counters_and_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b, c12", "s", "en"), (2, None, "s", "en"), (3, "é x", None, None)], "doc_id bigint, text string, source string, lang string")
-    found = {(r.doc_id, r.tokenizer): r.n_tokens for r in op.changes(docs, "insert", 1, list(op.COUNTERS)).collect()}
+    found = {(r.doc_id, r.tokenizer): r.n_tokens for r in op.changes(docs, "insert", 1, {t: op.counted(F.col("text"), t) for t in op.COUNTERS}).collect()}
     assert [found[1, t] for t in op.COUNTERS] == [3, 3, 5]
     assert [found[2, t] for t in op.COUNTERS] == [0, 0, 0]
     assert found[3, "space-1"] == 1
     rollup = op.TokenRollup(spark, str(tmp_path / "rollup"))
     assert rollup.totals().count() == 0
-    assert rollup.commit(0, op.changes(docs.limit(0), "insert", 1, ["space-1"]))
+    assert rollup.commit(0, op.changes(docs.limit(0), "insert", 1, {"space-1": F.lit(1)}))
     rollup.compact()
     assert rollup.totals().count() == 0
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
