@@ -5,7 +5,7 @@ The SQL is written on its own: it knows nothing of JSON messages and finds chunk
 
 from __future__ import annotations
 
-from quillstream.operators.search import B, K1, PLACES, RRF_RANK
+from quillstream.operators.search import B, K1, LSH_BITS, LSH_TABLES, PLACES, RRF_RANK
 from quillstream.plans.derived import REQUEST_TIME, START, STEP, YEAR
 from quillstream.schemas import SYSTEM_TOPICS
 
@@ -299,6 +299,11 @@ candidates AS (SELECT DISTINCT query_id, vec_id FROM row_buckets JOIN query_buck
 near AS (SELECT p.* FROM pairs p JOIN candidates c ON p.query_id = c.query_id AND p.row_id = c.vec_id),
 approximate AS ({ranked("near", K)})"""
 
+# The same searches with rows as queries, and with the operator's own tables.
+ROW_QUERIES = """vec AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+centroid AS (SELECT vec_id AS query_id, v AS q FROM vec WHERE vec_id % 20 = 0)"""
+ROW_LSH = LSH.replace("range(0, 4) a(t), range(0, 6) c(b)", f"range(0, {LSH_TABLES}) a(t), range(0, {LSH_BITS}) c(b)")
+
 HITS = "SELECT query_id, index_name, row_id, score, rank FROM "
 
 
@@ -506,6 +511,15 @@ FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FR
         EXACT,
         LSH,
         select="""SELECT e.query_id, count(*) AS n_exact, count(a.row_id) AS n_found, round(count(a.row_id) / count(*), 6) AS recall
+  FROM exact e LEFT JOIN approximate a ON a.query_id = e.query_id AND a.row_id = e.row_id GROUP BY e.query_id""",
+    ),
+    "knn_search_rows": with_(ROW_QUERIES, EXACT, select=HITS + "exact"),
+    "knn_lsh_rows": with_(ROW_QUERIES, EXACT, ROW_LSH, select=HITS + "approximate"),
+    "knn_lsh_rows_recall": with_(
+        ROW_QUERIES,
+        EXACT,
+        ROW_LSH,
+        select="""SELECT e.query_id, count(*) AS n_exact, count(a.row_id) AS n_found, round(count(a.row_id) / count(*), 6) AS recall
   FROM exact e LEFT JOIN approximate a ON a.query_id = e.query_id AND a.row_id = e.row_id GROUP BY e.query_id""",
     ),
     "hybrid_search": with_(

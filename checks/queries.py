@@ -126,6 +126,12 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def row_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row whose id is divisible by 20: the queries grow with the table."""
+    rows = table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0")
+    return rows.select(F.col("vec_id").alias("query_id"), "embedding")
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return embedding.embed(items, HashEmbedderFactory(DIM), key=["query_id"]).select("query_id", "text", "embedding")
@@ -555,6 +561,23 @@ def knn_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "n_exact", "n_found", F.round("recall", 6).alias("recall"))
 
 
+def knn_search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hits(search.knn_search(vector_index(spark, sf_dir), row_queries(spark, sf_dir), K, DIM))
+
+
+def knn_lsh_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = search.with_lsh(vector_index(spark, sf_dir), DIM)
+    return _hits(search.knn_lsh(near, row_queries(spark, sf_dir), K, DIM))
+
+
+def knn_lsh_rows_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries = row_queries(spark, sf_dir)
+    exact = search.knn_search(vector_index(spark, sf_dir), queries, K, DIM)
+    near = search.with_lsh(vector_index(spark, sf_dir), DIM)
+    found = search.recall(exact, search.knn_lsh(near, queries, K, DIM))
+    return found.select("query_id", "n_exact", "n_found", F.round("recall", 6).alias("recall"))
+
+
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(search.hybrid_search(chunk_index(spark, sf_dir), benchmark_queries(spark, sf_dir), K, DIM))
 
@@ -648,6 +671,9 @@ QUERIES = {
     "knn_search": knn_search,
     "knn_lsh": knn_lsh,
     "knn_lsh_recall": knn_lsh_recall,
+    "knn_search_rows": knn_search_rows,
+    "knn_lsh_rows": knn_lsh_rows,
+    "knn_lsh_rows_recall": knn_lsh_rows_recall,
     "hybrid_search": hybrid_search,
     "hybrid_search_rrf": hybrid_search_rrf,
     "filtered_search": filtered_search,

@@ -34,6 +34,8 @@ QUERY_BYTES = 4 << 20
 KEPT_HITS = 2_000_000
 # Pairs of a query and a row that a task scores at once.
 CELLS = 2_000_000
+# Random vectors of 64 places need as many tables for nine of ten neighbours; README has the recall by scale.
+LSH_TABLES, LSH_BITS = 64, 6
 # Query terms up to this number are looked for in the JVM already, so that other tokens never reach Python.
 LISTED_TERMS = 2_000
 
@@ -334,16 +336,15 @@ class _Hits:
 
 def _sharing_pairs(tables: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a query and a row that share a bucket in some table, each once; other pairs are never looked at."""
-    pairs = []
+    shared = np.zeros(len(tables) * len(buckets), dtype=bool)
     for table in range(tables.shape[1]):
         order = np.argsort(buckets[:, table], kind="stable")
         sorted_buckets = buckets[order, table]
         low, high = (np.searchsorted(sorted_buckets, tables[:, table], side) for side in ("left", "right"))
         sizes = high - low
         at = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        pairs.append(np.repeat(np.arange(len(tables)), sizes) * len(buckets) + order[at])
-    query, row = np.divmod(np.unique(np.concatenate(pairs)), len(buckets))
-    return query, row
+        shared[np.repeat(np.arange(len(tables)), sizes) * len(buckets) + order[at]] = True
+    return np.divmod(np.flatnonzero(shared), max(1, len(buckets)))
 
 
 def _pair_cosines(queries: np.ndarray, rows: np.ndarray, query: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -406,8 +407,10 @@ def _nearest(idx: DataFrame, queries: DataFrame, k: int, dim: int, lsh: tuple[in
         tables, near = None, rows.select("index_name", "row_id", "embedding")
         if lsh is not None:
             tables = lsh_buckets(vectors, *lsh)
-            wanted = F.array(*[F.lit(int(bucket)) for bucket in np.unique(tables)]).cast("array<int>")
-            near = rows.where(F.arrays_overlap("lsh", wanted)).select("index_name", "row_id", "embedding", "lsh")
+            near = rows.select("index_name", "row_id", "embedding", "lsh")
+            if _prunes(tables, lsh[1]):
+                wanted = F.array(*[F.lit(int(bucket)) for bucket in np.unique(tables)]).cast("array<int>")
+                near = near.where(F.arrays_overlap("lsh", wanted))
         hits = top_k(_scan(near, query_type, query_ids, vectors, k, tables), k)
         # With several blocks, one is finished before the next is fetched.
         parts.append(hits if len(blocks) == 1 else settle(hits))
@@ -436,7 +439,13 @@ def lsh_buckets(vectors: np.ndarray, tables: int, bits: int) -> np.ndarray:
     return (sides @ (1 << np.arange(bits))) + (np.arange(tables) << bits)
 
 
-def with_lsh(idx: DataFrame, dim: int, tables: int = 8, bits: int = 6) -> DataFrame:
+def _prunes(tables: np.ndarray, bits: int) -> bool:
+    """Whether a tenth of the rows at least is expected to share no bucket with any query; else the filter only costs."""
+    held = np.array([len(np.unique(buckets)) for buckets in tables.T])
+    return bool(np.prod(1 - held / (1 << bits)) >= 0.1)
+
+
+def with_lsh(idx: DataFrame, dim: int, tables: int = LSH_TABLES, bits: int = LSH_BITS) -> DataFrame:
     """Add the `lsh` buckets of each vector; store them with the index so that a search reads them only."""
     keep = list(idx.columns)
 
@@ -452,10 +461,13 @@ def with_lsh(idx: DataFrame, dim: int, tables: int = 8, bits: int = 6) -> DataFr
     return idx.where(F.size("embedding") == dim).mapInArrow(run, schema)
 
 
-def knn_lsh(idx: DataFrame, queries: DataFrame, k: int, dim: int, tables: int = 8, bits: int = 6) -> DataFrame:
+def knn_lsh(
+    idx: DataFrame, queries: DataFrame, k: int, dim: int, tables: int = LSH_TABLES, bits: int = LSH_BITS
+) -> DataFrame:
     """Approximate top `k` by cosine: only rows that share a bucket with a query are scored, and those exactly.
 
-    `idx` comes from `with_lsh` with the same `tables` and `bits`.
+    `idx` comes from `with_lsh` with the same `tables` and `bits`. Fewer tables or more bits score fewer pairs and lose
+    neighbours; `recall` tells how many.
     """
     return _nearest(idx, queries, k, dim, (tables, bits))
 

@@ -1,11 +1,14 @@
 """Registered queries against their SQL, at the smallest scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks.compare import difference, oracle
 from checks.oracle import SQL
-from checks.queries import QUERIES
+from checks.queries import DIM, K, QUERIES, vector_index
+from quillstream.operators import search
+from quillstream.session import settle
 
 SF_DIR = "/root/testdata/sf0.001"
 # the rest runs with `python -m checks.compare`
@@ -24,6 +27,15 @@ def test_query_gives_what_its_sql_gives(spark, name):
     assert difference(spark, oracle(SF_DIR), name, SF_DIR) is None
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_lsh_finds_nine_of_ten_neighbours(spark, scale):
+    idx = settle(vector_index(spark, f"/root/testdata/{scale}"))
+    queries = idx.where("row_id % 20 = 0").select(F.col("row_id").alias("query_id"), "embedding")
+    found = search.knn_lsh(search.with_lsh(idx, DIM), queries, K, DIM)
+    recall = search.recall(search.knn_search(idx, queries, K, DIM), found).agg(F.sum("n_found") / F.sum("n_exact"))
+    assert recall.first()[0] >= 0.9
+
+
 def test_entry(spark):
     found = entry.entry(spark)
     assert found.columns == ["query_id", "index_name", "row_id", "score", "rank"]
