@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillstream.plans.sizing import measure, spread
-from quillstream.session import configure
+from quillstream.session import configure, settle
 
 # A side of a join is broadcast only after it was measured to be below this; else the join shuffles.
 BROADCAST_BYTES = 8 << 20
@@ -81,3 +81,21 @@ def cut(data: bytes, size: int, ends: bytes = b" ") -> Iterator[bytes]:
         yield data[start : found + 1]
         start = found + 1
     yield data[start:]
+
+
+def join_unique(rows: DataFrame, side: DataFrame, key: str, share: int = 1000) -> DataFrame:
+    """Left join of `rows` with a settled `side` that has a key at most once, safe against keys that many rows have.
+
+    Keys with over one in `share` of all rows are fewer than `share`, so their rows of `side` are broadcast; rows with a
+    null key are joined with nothing. If all of `side` was measured to be small, it is broadcast as a whole.
+    """
+    if measure(side)[1] <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(side), key, "left")
+    n = rows.count()
+    heavy = settle(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * share > n).select(key))
+    common = side.join(F.broadcast(heavy), key, "left_semi")
+    flagged = rows.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), key, "left")
+    alone = F.col("_heavy").isNotNull() | F.col(key).isNull()
+    most = flagged.where(alone).drop("_heavy").join(F.broadcast(common), key, "left")
+    rest = flagged.where(~alone).drop("_heavy").join(side.join(F.broadcast(heavy), key, "left_anti"), key, "left")
+    return most.unionByName(rest.select(*most.columns))

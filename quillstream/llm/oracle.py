@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from itertools import permutations
+
 from .licenses import AGREEING, LEAST_SCORE, RARE_WORDS, TEMPLATES
 
 # Lower-cases A-Z only: ASCII runs are lowered, the rest is left.
@@ -26,6 +28,12 @@ def _tokens(text: str, tokenizer: str) -> str:
 
 CLEANED = "regexp_replace(text, '[0-9]+', '', 'g')"
 
+FILTER_ORDERS = ", ".join(
+    f"('{''.join(order)}', {step + 1}, {'ABCDE'.index(name)}, {sum(1 << 'ABCDE'.index(earlier) for earlier in order[:step])})"
+    for order in permutations("ABCDE")
+    for step, name in enumerate(order)
+)
+
 SQL = {
     "op1_token_counts": f"""
         WITH mark AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
@@ -100,4 +108,29 @@ SQL = {
                coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0) AS score
         FROM file LEFT JOIN find USING (doc) GROUP BY doc, doc_id, words
     """,
+    "op13_filter_audit": f"""
+        WITH item AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+        mark AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+                 FROM labels GROUP BY doc_id),
+        judged AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   (len(words) < 50)::INT + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+                   + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text))::INT
+                   + 8 * regexp_matches(text, '[#$%&*|]')::INT
+                   + 16 * coalesce(item.doc_id > min(item.doc_id) OVER (PARTITION BY text), false)::INT AS failed
+            FROM item LEFT JOIN mark ON mark.doc_id = item.doc_id),
+        counted AS (SELECT part, failed, good, toxic, count(*) AS n FROM judged GROUP BY ALL),
+        orders(filter_order, step, bit, before) AS (VALUES {FILTER_ORDERS}),
+        summed AS (
+            SELECT part, filter_order, step, bit,
+                   coalesce(sum(n) FILTER (failed & (before | (1 << bit)) = 0), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (failed >> bit & 1 = 1 AND failed & before = 0), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (failed >> bit & 1 = 1 AND failed & before <> 0), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (failed = 1 << bit), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(n) FILTER (failed >> bit & 1 = 1 AND failed & before = 0 AND good), 0)::BIGINT AS good_lost,
+                   coalesce(sum(n) FILTER (failed >> bit & 1 = 1 AND failed & before = 0 AND toxic), 0)::BIGINT AS toxic_lost
+            FROM counted CROSS JOIN orders GROUP BY part, filter_order, step, bit)
+        SELECT * EXCLUDE (bit), sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM summed
+    """,
 }

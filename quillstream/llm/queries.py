@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillstream.session import checkpoint_folder
 
-from . import bpe, chat, decontaminate, exact_dedup, langid, licenses, pii, simhash, token_counts, token_files
+from . import (
+    bpe, chat, decontaminate, exact_dedup, filter_audit, langid, licenses, pii, shards, simhash, spelling, token_counts, token_files,
+)
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -59,4 +61,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_pii, op3_exact_dedup, op4_licenses, op5_language, op6_bpe, op7_simhash, op8_decontaminate, op9_chat_format, op10_token_files)}
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_report(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_orders(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_pii, op3_exact_dedup, op4_licenses, op5_language, op6_bpe, op7_simhash, op8_decontaminate,
+        op9_chat_format, op10_token_files, op11_spelling, op12_shards, op13_filter_audit,
+    )
+}
