@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ HELD_WORDS = 400_000  # of a task, before it hands their counts on
 SLICE_BYTES = 1 << 20
 ROOT = 2  # letters before the first node; no word is near another one by an edit before them and in its second half
 HEAVY = 1000
-END = "$"  # stands for the end of a word; no letter
+AHEAD = 8  # letters that a state looks ahead
 
 # A-Z become a-z, letters up to U+00FF stay, all else is a space; for bytes in Latin-1, where other letters became "?".
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0xC0 else 32 for c in range(256))
@@ -98,8 +99,8 @@ def _mixed(hashes: np.ndarray, letters: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(keys: DataFrame) -> DataFrame:
-    """id, depth, node (hash of so many letters), the letter after them (0 at the end) and how many there are, for each prefix
-    of `ROOT` letters or more."""
+    """id, depth, node (hash of so many letters), the letter after them (0 at the end) and a CRC-32 of the next `AHEAD` letters,
+    for each prefix of `ROOT` letters or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,6 +110,8 @@ def _prefixes(keys: DataFrame) -> DataFrame:
             letters = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64)
             starts, lengths = (np.cumsum(lengths) - lengths)[order], lengths[order]
             ids = batch.column("id").to_numpy()[order]
+            texts = [words[i] if words[i].isascii() else None for i in order.tolist()]
+            others = [None if text is not None else words[i].decode("latin-1") for i, text in zip(order.tolist(), texts)]
             nodes = _mixed(batch.column("side").to_numpy()[order].astype(np.uint64), np.uint64(1))
             for depth in range(int(lengths.max(initial=-1)) + 1):
                 alive = int(np.searchsorted(-lengths, -depth, side="right"))
@@ -118,25 +121,35 @@ def _prefixes(keys: DataFrame) -> DataFrame:
                     follows = int(np.searchsorted(-lengths, -(depth + 1), side="right"))
                     after = np.zeros(alive, np.int32)
                     after[:follows] = letters[starts[:follows] + depth]
-                    numbers = [np.full(alive, depth, np.int32), after, (lengths[:alive] - depth).astype(np.int32)]
-                    columns = [ints(ids[:alive]), ints(nodes[:alive].view(np.int64)), *map(pa.array, numbers)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "depth", "letter", "left"])
+                    stop = depth + AHEAD
+                    ahead = [
+                        zlib.crc32(text[depth:stop] if text is not None else other[depth:stop].encode())
+                        for text, other in zip(texts[:alive], others[:alive])
+                    ]
+                    columns = [ints(ids[:alive]), ints(nodes[:alive].view(np.int64)), pa.array(np.full(alive, depth, np.int32)), pa.array(after), ints(ahead)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "depth", "letter", "ahead"])
 
-    return keys.mapInArrow(run, "id bigint, node bigint, depth int, letter int, left int")
+    return keys.mapInArrow(run, "id bigint, node bigint, depth int, letter int, ahead bigint")
+
+
+def _signed(ahead: Column, number: int) -> Column:
+    """Bit of a CRC in the `number`-th of the four words of a node's signature, 0 in the others."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), ahead.bitwiseAND(63).cast("int"))
+    return F.when(F.shiftright(ahead, 6).bitwiseAND(3) == number, bit).otherwise(F.lit(0).cast("bigint"))
 
 
 def edge_table(keys: DataFrame) -> DataFrame:
     """The compact trie of keys(id, side, key): one row for each node and first letter, settled.
 
     `node`, `heavy` (of the node), `letter`, `label` (letters up to the next node, or to the end of the only word below), then `child`
-    or `target`, the word that ends there. Of a child: `child_heavy`, `asks` (the first letters of its edges, `END` where a word
-    ends), `least_left` and `most_left` (letters of the words below it).
+    or `target`, the word that ends there. Of a child: `child_heavy`, and `signs`, 256 bits of which each word below has set one by the
+    `AHEAD` letters that it goes on with.
 
     All words below an edge pass the next node, so edge and node have the same smallest id; they meet by it.
     """
     n = keys.count()
     letters = _prefixes(keys).groupBy("depth", "node", "letter").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.min("left").alias("least_left"), F.max("left").alias("most_left")
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), *[F.bit_or(_signed(F.col("ahead"), i)).alias(f"signs{i}") for i in range(4)]
     )
     nodes = settle(
         letters.groupBy("depth", "node")
@@ -144,13 +157,11 @@ def edge_table(keys: DataFrame) -> DataFrame:
             F.min("id").alias("id"),
             (F.sum("n") * HEAVY > n).alias("heavy"),
             F.collect_list("id").alias("below"),
-            F.array_join(F.collect_list(F.when(F.col("letter") == 0, F.lit(END)).otherwise(F.char("letter"))), "").alias("asks"),
-            F.min("least_left").alias("least_left"),
-            F.max("most_left").alias("most_left"),
+            F.array(*[F.bit_or(f"signs{i}") for i in range(4)]).alias("signs"),
         )
         .where((F.size("below") > 1) | (F.col("depth") == ROOT))
     )
-    step = F.struct("depth", "node", "heavy", "asks", "least_left", "most_left")
+    step = F.struct("depth", "node", "heavy", "signs")
     paths = nodes.groupBy("id").agg(F.array_sort(F.collect_list(step)).alias("path"))
     ends = nodes.select("depth", "node", "heavy", F.explode("below").alias("id"))
     following = F.filter("path", lambda step: step["depth"] > F.col("depth"))
@@ -164,7 +175,7 @@ def edge_table(keys: DataFrame) -> DataFrame:
             F.substring(F.col("key"), F.col("depth") + 1, length).alias("label"),
             F.col("next.node").alias("child"),
             F.col("next.heavy").alias("child_heavy"),
-            *[F.col(f"next.{name}").alias(name) for name in ("asks", "least_left", "most_left")],
+            F.col("next.signs").alias("signs"),
             F.when(F.col("next").isNull(), F.col("key")).alias("target"),
         )
     )
@@ -174,7 +185,7 @@ def edge_table(keys: DataFrame) -> DataFrame:
 
 
 def _moves() -> Column:
-    """What a state can do on an edge of its node: position and edits after it, for every way that fits.
+    """What a state can do on an edge of its node: position and edits after it, null for a way that does not fit.
 
     An edge that has not the word's next letter is entered by an edit."""
     word, at, label = F.col("word"), F.col("position"), F.col("label")
@@ -188,13 +199,12 @@ def _moves() -> Column:
 
     parts = F.col("letter") != F.col("next_letter")
     inside = at < F.char_length("word")
-    ways = F.array(
+    return F.array(
         move(fits(at, label), at + size, F.col("edits")),
         move(parts & inside & (label != "") & fits(at + 1, rest), at + size, F.lit(1)),  # another letter
         move(parts & (label != "") & fits(at, rest), at + size - 1, F.lit(1)),  # one letter more
         move(parts & inside & fits(at + 1, label), at + 1 + size, F.lit(1)),  # one letter less
     )
-    return F.array_compact(ways)
 
 
 STATE = ["word", "least", "backwards", "position", "node", "heavy", "edits"]
@@ -203,16 +213,17 @@ STATE = ["word", "least", "backwards", "position", "node", "heavy", "edits"]
 def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     """States one edge further; at the end of both words `target` has the near word, else it is null.
 
-    A state after an edit goes on only if the child can take the rest of its word: its next letter, and as many letters.
+    A state after an edit goes on only if the signature of the child has the next letters of its word.
     """
     states = states.withColumn("next_letter", F.substring(F.col("word"), F.col("position") + 1, F.lit(1)))
     own, may_part = F.col("letter") == F.col("next_letter"), (F.col("edits") == 0) & (F.col("position") >= F.col("least"))
     joined = states.join(edges.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & (own | may_part))
-    moved = joined.withColumn("move", F.explode(_moves()))
+    moved = joined.withColumn("move", F.explode(_moves())).where("move is not null")
     left = F.char_length("word") - F.col("move.position")
     found = (F.col("move.edits") == 1) & (left == 0)
-    asked = F.when(left == 0, F.lit(END)).otherwise(F.substring(F.col("word"), F.col("move.position") + 1, F.lit(1)))
-    useful = (F.col("move.edits") == 0) | (left.between(F.col("least_left"), F.col("most_left")) & F.contains("asks", asked))
+    ahead = F.crc32(F.encode(F.substring(F.col("word"), F.col("move.position") + 1, F.lit(AHEAD)), "UTF-8"))
+    signs = F.get("signs", F.shiftright(ahead, 6).bitwiseAND(3).cast("int"))
+    useful = (F.col("move.edits") == 0) | (F.getbit(signs, ahead.bitwiseAND(63).cast("int")) == 1)
     return moved.where(F.when(F.col("target").isNull(), useful).otherwise(found)).select(
         "word",
         "least",
@@ -244,16 +255,19 @@ def near_pairs(words: DataFrame) -> DataFrame:
         F.lit(0).alias("edits"),
     )
     parts = []
-    while True:
-        ahead = _advance(frontier.where("heavy").drop("heavy"), heavy).unionByName(_advance(frontier.where("not heavy").drop("heavy"), light))
-        level = settle(ahead)
-        parts.append(level.where("target is not null").select("word", "target", "least", "backwards"))
-        frontier = level.where("target is null").select(*STATE)
-        if frontier.isEmpty():
-            break
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    # partitions that were measured to be small are joined by hash, without a sort
+    spark, setting = words.sparkSession, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(64 << 20))
+    try:
+        while not parts or not frontier.isEmpty():
+            ahead = _advance(frontier.where("heavy").drop("heavy"), heavy).unionByName(_advance(frontier.where("not heavy").drop("heavy"), light))
+            level = settle(ahead)
+            parts.append(level.where("target is not null").select("word", "target", "least", "backwards"))
+            frontier = level.where("target is null").select(*STATE)
+    finally:
+        spark.conf.set(setting, before)
+    found = reduce(DataFrame.unionByName, parts)
     # of a word that parts from another one in both halves (a letter doubled across the middle), once
     word, near = (F.when(F.col("backwards"), F.reverse(name)).otherwise(F.col(name)) for name in ("word", "target"))
     first = F.floor(F.char_length("word") / 2).cast("int")
