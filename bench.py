@@ -25,7 +25,7 @@ HEADLINE = (
     "stream_backfill",
     "bm25_search",
     "knn_search",
-    "knn_lsh",
+    "knn_cells",
     "hybrid_search",
 )
 

@@ -63,7 +63,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, failed = oracle(sf_dir), 0
-    for name in names or QUERIES:
+    for name in names or SQL:
         start = time.time()
         try:
             problem = difference(spark, connection, name, sf_dir)

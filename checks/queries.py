@@ -10,7 +10,7 @@ from quillstream.functions.hashing import HashEmbedderFactory
 from quillstream.functions.ids import index_kind, row_id, topic_type
 from quillstream.functions.text import analyze
 from quillstream.functions.times import parse_upload_time
-from quillstream.operators import chunking, embedding, index_state, outcomes, search
+from quillstream.operators import cells, chunking, embedding, index_state, outcomes, search
 from quillstream.operators.decode import decode_creations, decode_deletions, decode_documents
 from quillstream.operators.routing import all_system_ready, seed_system_indices
 from quillstream.operators.validate import (
@@ -116,16 +116,6 @@ def vector_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean vector of each label: few queries, made from the whole table."""
-    cells = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("place", "x"))
-    means = cells.groupBy("label", "place").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    # at most one entry per dimension in a group
-    return means.groupBy(F.col("label").cast("bigint").alias("query_id")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "x"))), lambda cell: cell["x"]).alias("embedding")
-    )
-
-
 def row_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row whose id is divisible by 20: the queries grow with the table."""
     rows = table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0")
@@ -544,23 +534,6 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(search.bm25_search(text_index(spark, sf_dir), benchmark_queries(spark, sf_dir), K))
 
 
-def knn_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hits(search.knn_search(vector_index(spark, sf_dir), centroids(spark, sf_dir), K, DIM))
-
-
-def knn_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = search.with_lsh(vector_index(spark, sf_dir), DIM, tables=4, bits=6)
-    return _hits(search.knn_lsh(near, centroids(spark, sf_dir), K, DIM, tables=4, bits=6))
-
-
-def knn_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    queries = centroids(spark, sf_dir)
-    exact = search.knn_search(vector_index(spark, sf_dir), queries, K, DIM)
-    near = search.with_lsh(vector_index(spark, sf_dir), DIM, tables=4, bits=6)
-    found = search.recall(exact, search.knn_lsh(near, queries, K, DIM, tables=4, bits=6))
-    return found.select("query_id", "n_exact", "n_found", F.round("recall", 6).alias("recall"))
-
-
 def knn_search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(search.knn_search(vector_index(spark, sf_dir), row_queries(spark, sf_dir), K, DIM))
 
@@ -578,6 +551,17 @@ def knn_lsh_rows_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "n_exact", "n_found", F.round("recall", 6).alias("recall"))
 
 
+def knn_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx = settle(vector_index(spark, sf_dir))
+    return _hits(cells.knn_cells(idx, cells.build_cells(idx, DIM), row_queries(spark, sf_dir), K))
+
+
+def knn_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx, queries = settle(vector_index(spark, sf_dir)), row_queries(spark, sf_dir)
+    found = search.recall(search.knn_search(idx, queries, K, DIM), cells.knn_cells(idx, cells.build_cells(idx, DIM), queries, K))
+    return found.select("query_id", "n_exact", "n_found", F.round("recall", 6).alias("recall"))
+
+
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(search.hybrid_search(chunk_index(spark, sf_dir), benchmark_queries(spark, sf_dir), K, DIM))
 
@@ -668,9 +652,11 @@ QUERIES = {
     "compacted_index": compacted_index,
     "analyze_tokens": analyze_tokens,
     "bm25_search": bm25_search,
-    "knn_search": knn_search,
-    "knn_lsh": knn_lsh,
-    "knn_lsh_recall": knn_lsh_recall,
+    "knn_search": knn_search_rows,
+    "knn_lsh": knn_lsh_rows,
+    "knn_lsh_recall": knn_lsh_rows_recall,
+    "knn_cells": knn_cells,
+    "knn_cells_recall": knn_cells_recall,
     "knn_search_rows": knn_search_rows,
     "knn_lsh_rows": knn_lsh_rows,
     "knn_lsh_rows_recall": knn_lsh_rows_recall,
