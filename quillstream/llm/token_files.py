@@ -173,21 +173,27 @@ class _WordIds:
     """Ids of words by the library's model, as bytes of the file's width."""
 
     def __init__(self, path: str, width: int) -> None:
-        self.table, self.model, self.kind = merges(path), Tokenizer.from_file(path).model, f"<u{width}"
+        self.table, self.model = merges(path), Tokenizer.from_file(path).model
         self.symbol = byte_symbols()
+        largest = max(self.table.size, max(self.table.special.values(), default=0) + 1)
+        self.coded = [i.to_bytes(width, "little") for i in range(largest)]
 
     def of_word(self, word: str | int) -> bytes:
+        coded = self.coded
         if isinstance(word, int):
-            return np.array([word], self.kind).tobytes()
+            return coded[word]
         plain = word.isascii() and word.isprintable()  # then its characters stand for themselves
-        mapped = word if plain else "".join([self.symbol[byte] for byte in word.encode()])
-        return np.array([token.id for token in self.model.tokenize(mapped)], self.kind).tobytes()
+        tokens = self.model.tokenize(word if plain else "".join([self.symbol[byte] for byte in word.encode()]))
+        return b"".join([coded[token.id] for token in tokens])
 
     def of_pieces(self, pieces: set[str], peek: Callable[[str], bytes | None]) -> dict[str, bytes]:
         """`peek` gives what is known already: a word alone is a piece of its own."""
         words: dict[str | int, bytes] = {}
         out = {}
         for piece in pieces:
+            if piece.isalpha() and piece.isascii():  # one word, and known to be new
+                out[piece] = self.of_word(piece.lower())
+                continue
             parts = []
             for word in self.table.special_words(piece):
                 found = words.get(word)
