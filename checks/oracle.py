@@ -555,6 +555,7 @@ FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FR
   CAST(row_number() OVER (PARTITION BY index_name ORDER BY row_id) AS INTEGER) AS position FROM idx QUALIFY position <= {K}""",
     ),
 }
+SQL["bm25_inverted"] = SQL["bm25_search"]
 # the same searches by their earlier names
 SQL |= {name: SQL[f"{name.removesuffix('_recall')}_rows{'_recall' if name.endswith('_recall') else ''}"] for name in ("knn_search", "knn_lsh", "knn_lsh_recall")}
 # Trained centres are beyond SQL; tests/test_cells.py holds these searches against brute force.

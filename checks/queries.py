@@ -10,7 +10,7 @@ from quillstream.functions.hashing import HashEmbedderFactory
 from quillstream.functions.ids import index_kind, row_id, topic_type
 from quillstream.functions.text import analyze
 from quillstream.functions.times import parse_upload_time
-from quillstream.operators import cells, chunking, embedding, index_state, outcomes, search
+from quillstream.operators import cells, chunking, embedding, index_state, inverted, outcomes, search
 from quillstream.operators.decode import decode_creations, decode_deletions, decode_documents
 from quillstream.operators.routing import all_system_ready, seed_system_indices
 from quillstream.operators.validate import (
@@ -534,6 +534,12 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(search.bm25_search(text_index(spark, sf_dir), benchmark_queries(spark, sf_dir), K))
 
 
+def bm25_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search from stored postings."""
+    index = inverted.build_inverted(text_index(spark, sf_dir))
+    return _hits(inverted.inverted_search(index, benchmark_queries(spark, sf_dir), K))
+
+
 def knn_search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(search.knn_search(vector_index(spark, sf_dir), row_queries(spark, sf_dir), K, DIM))
 
@@ -652,6 +658,7 @@ QUERIES = {
     "compacted_index": compacted_index,
     "analyze_tokens": analyze_tokens,
     "bm25_search": bm25_search,
+    "bm25_inverted": bm25_inverted,
     "knn_search": knn_search_rows,
     "knn_lsh": knn_lsh_rows,
     "knn_lsh_recall": knn_lsh_rows_recall,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.ids import index_kind
 from ..operators.index_state import apply_deletes, deletion_outcomes, latest_stored_rows, of_last_version, stored
+from ..operators.inverted import Inverted, build_inverted
 from ..operators.search import filter_index
 from ..schemas import DELETES, INDEX_ROW, OUTCOME, REGISTRY
 
@@ -31,6 +32,13 @@ SCHEMAS = {
     "registry": REGISTRY,
     "outcomes": OUTCOME,
     "snapshot": INDEX_ROW,
+    "postings": T.StructType(
+        [T.StructField("index_name", T.StringType()), T.StructField("term", T.StringType()), T.StructField("ids", T.ArrayType(T.StringType()))]
+        + [T.StructField(name, T.ArrayType(T.IntegerType())) for name in ("counts", "lengths")]
+        + [T.StructField(name, T.IntegerType()) for name in ("top_count", "least_length")]
+    ),
+    "sizes": T.StructType([T.StructField("index_name", T.StringType()), T.StructField("n_rows", T.LongType()), T.StructField("n_terms", T.LongType())]),
+    "indexed": T.StructType([T.StructField("committed_at", T.TimestampType())]),
     "owner": T.StructType([T.StructField("query_id", T.StringType())]),
     "commits": T.StructType([T.StructField("committed_at", T.TimestampType())]),
     "compactions": T.StructType([T.StructField("committed_at", T.TimestampType())]),
@@ -140,3 +148,24 @@ class ChangeLog:
         ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
         self.write("snapshot", last, ranged.sortWithinPartitions(*keys))
         self.commit(last, "compactions")
+
+    def index_text(self) -> None:
+        """Write the postings of the last snapshot, which full-text search then reads instead of texts.
+
+        As with a refresh of a search index, later batches are found after the next `compact` and `index_text`. The tables
+        are named by the snapshot and become visible by a commit of their own, so a crash leaves the earlier ones in use.
+        """
+        base = self._last("compactions")
+        if base < 0 or base == self._last("indexed"):
+            return
+        index = build_inverted(self.batch("snapshot", base))
+        self.write("postings", base, index.blocks)
+        self.write("sizes", base, index.sizes)
+        self.commit(base, "indexed")
+
+    def inverted(self) -> Inverted | None:
+        """The postings last written; None if there are none."""
+        base = self._last("indexed")
+        if base < 0:
+            return None
+        return Inverted(self.batch("postings", base).drop("batch_id"), self.batch("sizes", base).drop("batch_id"))
