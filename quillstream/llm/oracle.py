@@ -2,7 +2,7 @@
 
 from itertools import permutations
 
-from .licenses import AGREEING, LEAST_SCORE, RARE_WORDS, TEMPLATES
+from .licenses import LEAST_SCORE, TEMPLATES
 
 # Lower-cases A-Z only: ASCII runs are lowered, the rest is left.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -90,12 +90,7 @@ SQL = {
         file AS (SELECT row_number() OVER () AS doc, doc_id, {WORDS} AS words FROM documents),
         spot AS (SELECT doc, unnest(words) AS word, unnest(range(len(words))) AS pos FROM file),
         known AS (SELECT spot.* FROM spot SEMI JOIN template USING (word)),
-        frequency AS (SELECT word, count(DISTINCT doc) AS df FROM known GROUP BY word),
-        ranked AS (SELECT t, word, row_number() OVER (PARTITION BY t ORDER BY df IS NULL, df, word) AS nth
-                   FROM (SELECT DISTINCT t, word FROM template) LEFT JOIN frequency USING (word)),
-        posting AS (SELECT template.* FROM template JOIN ranked USING (t, word) WHERE nth <= if(base, 1, {RARE_WORDS})),
-        aligned AS (SELECT doc, t, pos - nr AS place FROM known JOIN posting USING (word)
-                    GROUP BY doc, t, pos - nr, base HAVING count(*) >= if(base, 1, {AGREEING})),
+        aligned AS (SELECT doc, t, pos - nr AS place FROM known JOIN template USING (word) WHERE nr = phrase_at),
         checked AS (SELECT aligned.doc, t, label, base, aligned.place + phrase_at AS place, count(known.word) / size AS share,
                            count(known.word) FILTER (nr BETWEEN phrase_at AND phrase_at + phrase_size - 1) AS phrase_words, phrase_size
                     FROM aligned JOIN template USING (t)
