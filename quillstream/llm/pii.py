@@ -9,10 +9,12 @@ For disguised ones the text goes through transducers, rules that rewrite parts o
     spelled digits  runs of number words (English, German, French, Spanish) and digits, four digits at least, become
                     digits; "dot" or "point" between them a full stop, "plus" before them a plus sign
     at and dot      "(at)", "[dot]" and their like become signs; bare words only in the shape of a whole address: with a bare
-                    "dot" as well, or behind a name with a digit or a sign in it
+                    "dot" as well, or behind a name with a digit or a sign in it; a name of letters only has to be no word
+                    that stands before "at" in prose (`_BEFORE_AT`), and its host to end as most mail hosts do
 
 The same detectors run over the rewritten text, and each span is mapped back to the source characters it was made of. A
-found span is added if it overlaps no plain one of its kind; plain ones always stay. Most texts are rewritten by no rule
+found span is added unless a plain one of its kind contains it; one that reaches beyond plain ones is added beside them,
+numbers only if two number words at least lie beyond. Plain ones always stay. Most texts are rewritten by no rule
 and are not scanned twice.
 
 Places are code points, end exclusive. Cases: null text is empty; an empty text has no spans; texts of any length are read
@@ -158,6 +160,15 @@ _NUMBER_WORDS = (
 _DIGIT_OF = {word: str(digit) for line in _NUMBER_WORDS for digit, word in enumerate(line.split())} | {"oh": "0"}
 _DOT_WORDS = ("dot", "point", "punkt", "punto")
 LEAST_DIGITS = 4
+LEAST_BEYOND = 2  # number words outside the plain spans that a span overlaps
+# Words of letters only that stand before "at" in prose, and ends of hosts that follow a name of letters only.
+_BEFORE_AT = frozenset(
+    "a all also and are arrive arrived at available be been but call check click contact do documentation email find found go had "
+    "has have he her here him hosted i in is it join just learn listed live located look looked looking mail me meet more not now of "
+    "on online only or order ours out page published read reached register registered see seen she shop sign site so start stay that "
+    "the their them there they this to up us visit was we website were will with write you".split()
+)
+_MAIL_ENDS = frozenset("com org net edu gov info io de fr es uk example".split())
 
 
 
@@ -172,9 +183,10 @@ def _any_of(words: list[str]) -> str:
 
 _NUMBER = "|".join(sorted(_DIGIT_OF, key=len, reverse=True))
 _DOTS = "|".join(_DOT_WORDS)
-_JOIN = rf"(?:[\s.-]{{1,3}}(?:(?:{_DOTS})[\s-]{{1,3}})?)"
+_JOIN = rf"(?:[\s.,()-]{{1,3}}(?:(?:{_DOTS})[\s-]{{1,3}})?)"
 _SPELLED = re.compile(rf"(?i)(?<!\w)(?:plus[\s-]{{1,3}})?+(?:(?:{_NUMBER}|[0-9]++)(?:{_JOIN}(?:{_NUMBER}|[0-9]++)(?!\w))++)(?!\w)")
-_SPELLED_PART = re.compile(rf"(?i)plus|{_NUMBER}|[0-9]+|{_DOTS}|\.|[\s-]+")
+_SPELLED_PART = re.compile(rf"(?i)plus|{_NUMBER}|[0-9]+|{_DOTS}|\.|[\s,()-]+")
+_NUMBER_WORD = re.compile(rf"(?i)(?<!\w)(?:{_NUMBER})(?!\w)")
 # Two neighbours of a run of which one is a number word, in lower-cased text.
 _WORD = _any_of(list(_DIGIT_OF))
 _MAYBE_SPELLED = re.compile(rf"[^\w](?:{_WORD}{_JOIN}(?:{_WORD}|[0-9])|[0-9]++{_JOIN}{_WORD})")
@@ -193,7 +205,7 @@ _BARE = re.compile(
     rf"(?i)(?:(?<=[A-Za-z0-9._%+-])\s{{1,3}}(?:at|arroba)\s{{1,3}}|@){_LABEL}(?:(?:{_BARE_DOT}|\.){_LABEL})*?{_BARE_DOT}[A-Za-z]{{2,24}}\b"
 )
 # name AT host.com; the name has to look like one, see `_looks_like_name`
-_BARE_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])\s{{1,3}}(?:at|arroba)\s{{1,3}}(?=(?:{_LABEL}\.)+[A-Za-z]{{2,24}}\b)")
+_BARE_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])\s{{1,3}}(?:at|arroba)\s{{1,3}}(?=(?P<host>(?:{_LABEL}\.)+[A-Za-z]{{2,24}}\b))")
 _BARE_SIGN = re.compile(rf"(?i)(?P<at>\s{{1,3}}(?:at|arroba)\s{{1,3}})|(?P<dot>{_BARE_DOT})")
 _MAYBE_BARE = re.compile(rf"(?i)\s(?:{_DOTS})\s")
 _MAYBE_MARKED = re.compile(rf"(?i){_OPEN}\s{{0,3}}(?:at|@|arroba|{_DOTS}|\.)\s{{0,3}}{_CLOSE}")
@@ -289,16 +301,20 @@ def sign_edits(text: str) -> list[Edit]:
     return edits
 
 
-def _looks_like_name(text: str, stop: int) -> bool:
-    """Whether the local part that ends at `stop` holds a digit or a sign, as no word before a plain "at" does."""
+def _looks_like_name(text: str, stop: int, host_stop: int) -> bool:
+    """Whether the local part that ends at `stop` is one: it holds a digit or a sign, or is no usual word before "at"."""
     start = stop
     while start > 0 and stop - start < 64 and text[start - 1] in _LOCAL:
         start -= 1
-    return not text[start:stop].strip(".-").isalpha()
+    name = text[start:stop].strip(".-")
+    if not name.isalpha():
+        return True
+    end = text[stop:host_stop].rpartition(".")[2].lower()
+    return name == text[start:stop] and name.lower() not in _BEFORE_AT and end in _MAIL_ENDS
 
 
 def bare_sign_edits(text: str) -> list[Edit]:
-    edits: list[Edit] = [(m.start(), m.end(), "@") for m in _BARE_AT.finditer(text) if _looks_like_name(text, m.start())]
+    edits: list[Edit] = [(m.start(), m.end(), "@") for m in _BARE_AT.finditer(text) if _looks_like_name(text, m.start(), m.end("host"))]
     if _MAYBE_BARE.search(text):
         for m in _BARE.finditer(text):
             edits += [(m.start() + s.start(), m.start() + s.end(), "@" if s.group("at") else ".") for s in _BARE_SIGN.finditer(m.group())]
@@ -315,18 +331,32 @@ def normalise(text: str) -> Rewritten | None:
     return out
 
 
+def _beyond(text: str, start: int, stop: int, met: list[Span], kind: str) -> bool:
+    """Whether a span tells more than the plain ones it meets."""
+    outer, at = [], start
+    for begin, end in met:
+        outer.append(text[at : max(at, begin)])
+        at = max(at, end)
+    outer.append(text[at : max(at, stop)])
+    if kind == "email":
+        return any(outer)
+    return sum(len(_NUMBER_WORD.findall(part)) for part in outer) >= LEAST_BEYOND
+
+
 def disguised(text: str, plain: list[list[Span]]) -> list[list[Span]]:
     """Spans that only the rewritten text shows, by kind, mapped back to `text`."""
     rewritten = normalise(text)
     if rewritten is None:
         return [[] for _ in KINDS]
     added = []
-    for spans, known in zip(detect(rewritten.text), plain):
+    for kind, spans, known in zip(KINDS, detect(rewritten.text), plain):
         starts = [start for start, _ in known]
         own = []
         for start, stop in (rewritten.source(*span) for span in spans):
-            before = bisect_right(starts, stop - 1) - 1
-            if before < 0 or known[before][1] <= start:
+            # plain spans of a kind do not overlap, so those that meet this one are neighbours
+            first = max(0, bisect_right(starts, start) - 1)
+            met = [span for span in known[first : bisect_right(starts, stop - 1)] if span[1] > start]
+            if not met or _beyond(text, start, stop, met, kind):
                 own.append((start, stop))
         added.append(own)
     return added

@@ -59,6 +59,14 @@ DISGUISED = [
     ("vier null eins zwei acht acht acht acht acht acht acht acht eins acht acht eins", [("card", "vier null eins zwei acht acht acht acht acht acht acht acht eins acht acht eins")]),
     ("we meet at noon. dot by dot, one two three, un deux de trois la quatre at the house", []),
     ("a@b.c at d dot e", []),
+    ("+44 20 7946 zero nine five eight", [("phone", "+44 20 7946 zero nine five eight")]),
+    ("+44 20 7946 0958 one day", []),
+    ("bob@mail.example dot com", [("email", "bob@mail.example dot com")]),
+    ("ask john at gmail.com, alice at example.org.", [("email", "john at gmail.com"), ("email", "alice at example.org")]),
+    ("look at example.com, meet us at example.org, met at noon.then", []),
+    ("+1 (five five five) one two three four", [("phone", "+1 (five five five) one two three four")]),
+    ("+1 five five five, one two three four", [("phone", "+1 five five five, one two three four")]),
+    ("one, two, three, four (five)", []),
 ]
 
 
