@@ -56,6 +56,14 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.withColumn(name, row_key()).join(keys, name, "left_anti").select(*docs.columns)
 
 
+def one_of_repeated(docs: DataFrame, staying: DataFrame, repeated: DataFrame) -> DataFrame:
+    """`staying` with one row for each settled key `repeated(row_key)`; such rows of `docs` differ in other columns at most."""
+    if repeated.isEmpty():
+        return staying
+    one_each = keep_rows(docs, repeated).withColumn("__row_key", row_key()).dropDuplicates(["__row_key"]).drop("__row_key")
+    return drop_rows(staying, repeated).unionByName(one_each)
+
+
 def ints(values: Any) -> pa.Array:
     return pa.array(values, pa.int64())
 

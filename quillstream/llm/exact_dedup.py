@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quillstream.functions.arrow import expand
 from quillstream.session import settle
 
-from .common import drop_rows, ints, keep_rows, row_key, rows_of, small
+from .common import drop_rows, ints, one_of_repeated, row_key, rows_of, small
 
 CHUNK_BYTES = 4096  # of a hash: 255 * 2**31 * 4096 is exact in a double
 COMPARED_BYTES = 64 << 10  # of a comparison
@@ -186,9 +186,5 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """Rows that stay, with the columns of `docs`."""
     keys = settle(exact_classes(docs).groupBy("row_key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")))
     staying = drop_rows(docs, keys.filter("not kept"))
-    # rows that repeat doc_id and text differ in other columns at most; of those one is taken, the rest need no shuffle
-    repeated = settle(keys.filter("kept and rows > 1").select("row_key"))
-    if repeated.isEmpty():
-        return staying
-    one_each = keep_rows(docs, repeated).withColumn("__row_key", row_key()).dropDuplicates(["__row_key"]).drop("__row_key")
-    return drop_rows(staying, repeated).unionByName(one_each)
+    # of rows that repeat doc_id and text one is taken; the rest need no shuffle
+    return one_of_repeated(docs, staying, settle(keys.filter("kept and rows > 1").select("row_key")))

@@ -29,7 +29,7 @@ from xxhash import xxh64_intdigest
 
 from quillstream.session import settle
 
-from .common import cut, drop_rows, ints, row_key, rows_of, small
+from .common import cut, drop_rows, ints, one_of_repeated, row_key, rows_of, small
 from .components import components
 
 WORDS, SEED, MOST_BITS = 4, 42, 4
@@ -235,8 +235,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the smallest doc_id, with the columns of `docs`."""
+    """One row of each component, of the document of the smallest doc_id, with the columns of `docs`."""
     rows = near_components(docs)
+    keys = settle(rows.groupBy("root", "row_key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows")))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row_key"))
-    stays = settle(rows.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.row_key").alias("row_key")))
-    return drop_rows(docs, settle(rows.select("row_key").distinct().join(stays, "row_key", "left_anti")))
+    stays = settle(keys.groupBy("root").agg(F.min_by(F.struct("row_key", "rows"), order).alias("best")).select("best.*"))
+    staying = drop_rows(docs, settle(keys.select("row_key").join(stays, "row_key", "left_anti")))
+    return one_of_repeated(docs, staying, settle(stays.filter("rows > 1").select("row_key")))

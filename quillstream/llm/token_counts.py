@@ -141,7 +141,10 @@ class TokenRollup:
 
 def recount(rollup: TokenRollup, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """A corpus's life in four batches: all documents come in; toxic ones go; those of low quality are cleaned of digits
-    and counted anew, by a newer version of one tokenizer; then two of the batches are delivered again."""
+    and counted anew, by a newer version of one tokenizer; then two of the batches are delivered again.
+
+    A document is its doc_id: rows of one id, or without any, are one document, of which the largest event counts. A label
+    without a toxic mark counts as not toxic."""
     # texts are counted where they are, as they came and cleaned; only counts meet the labels
     text, cleaned = F.col("text"), F.regexp_replace("text", "[0-9]+", "")
     rows = settle(
@@ -152,7 +155,7 @@ def recount(rollup: TokenRollup, docs: DataFrame, labels: DataFrame) -> DataFram
     )
     marks = settle(labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality")))
     toxic = rows.join(marks.filter("toxic = 1"), "doc_id", "left_semi")
-    poor = rows.join(marks.filter("quality = 0 and toxic = 0"), "doc_id", "left_semi")
+    poor = rows.join(marks.filter("quality = 0 and coalesce(toxic, 0) <> 1"), "doc_id", "left_semi")
     none = F.lit(0)
     removed = changes(toxic, "delete", 2, {"space-1": none, "alnum-1": none})
     revised = (

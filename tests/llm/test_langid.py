@@ -80,3 +80,17 @@ def test_nothing_to_learn_from(spark):
     assert op.languages(spark.createDataFrame([], SCHEMA)).count() == 0
     found = op.languages(spark.createDataFrame([(1, "text", None, "x", 1)], SCHEMA)).collect()
     assert [(r.lang_pred, r.score) for r in found] == [("und", 0.0)]
+    unlabelled = [(1, "text", None, "x", 1), (2, None, None, "x", 1), (3, "12 _!", None, None, 1), (4, "él", None, "x", 1), (2, "b", "en", "x", 1)]
+    held_out = [row for row in unlabelled if row[2] is None or zlib.crc32(str(row[0]).encode()) % 4 == 2]
+    kept = op.keep_identified(spark.createDataFrame(held_out, SCHEMA))
+    assert sorted(r.text for r in kept.collect()) == sorted(t for _, t, *_ in held_out if t and t != "12 _!")
+    assert op.keep_identified(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_prediction_and_score_decide_what_stays(spark):
+    frame = spark.createDataFrame(rows(300), SCHEMA)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in op.languages(frame).collect()}
+    middle = sorted(score for _, score in found.values())[150]
+    kept = {r.doc_id for r in op.keep_identified(frame, wanted=("aa", "cc"), least_score=middle).collect()}
+    assert kept == {i for i, (name, score) in found.items() if name in ("aa", "cc") and score >= middle}
+    assert 0 < len(kept) < 150
