@@ -173,7 +173,16 @@ def view(source: str, settings=SMALL) -> str:
 
 # Outcomes
 
-OUTCOMES = """counts AS (SELECT "partition", "offset", count(*) AS n FROM written GROUP BY ALL),
+# each write is seen through to the deletion that ends it, if its index was there when the deletion came
+DELETED = """judged AS (SELECT d.*, coalesce(r.created < d.arrival, false) AS known
+  FROM deletions d LEFT JOIN registry r ON d.index_name = r.index_name WHERE len(errors) = 0),
+ended AS (SELECT w.index_name, w.doc_id, w.row_id, min(d.arrival) AS arrival FROM written w
+  JOIN judged d ON d.known AND d.index_name = w.index_name AND d.doc_id = w.doc_id AND d.arrival > w.arrival
+  GROUP BY w.index_name, w.doc_id, w.row_id, w.arrival),
+taken AS (SELECT index_name, doc_id, arrival, count(DISTINCT row_id) AS n FROM ended GROUP BY ALL)"""
+
+OUTCOMES = DELETED + """,
+counts AS (SELECT "partition", "offset", count(*) AS n FROM written GROUP BY ALL),
 outcomes AS (
   SELECT 'documents' AS topic, "partition", "offset", doc_id, index_name, 'rejected' AS status, errors AS reason, 0 AS n_chunks
     FROM messages WHERE len(errors) > 0
@@ -184,9 +193,11 @@ outcomes AS (
     CASE WHEN n IS NULL THEN ['no_chunks'] ELSE [] END, coalesce(n, 0)
     FROM routed r LEFT JOIN counts c ON r."partition" = c."partition" AND r."offset" = c."offset"
   UNION ALL
-  SELECT 'document_deletions', "partition", "offset", doc_id, d.index_name,
-    CASE WHEN len(errors) > 0 THEN 'rejected' WHEN r.created < d.arrival THEN 'accepted' ELSE 'missing_index' END, errors, 0
-    FROM deletions d LEFT JOIN registry r ON d.index_name = r.index_name
+  SELECT 'document_deletions', "partition", "offset", doc_id, index_name, 'rejected', errors, 0 FROM deletions WHERE len(errors) > 0
+  UNION ALL
+  SELECT 'document_deletions', "partition", "offset", doc_id, index_name,
+    CASE WHEN NOT known THEN 'missing_index' WHEN n > 0 THEN 'deleted' ELSE 'nothing_found' END, [], coalesce(n, 0)
+    FROM judged LEFT JOIN taken USING (index_name, doc_id, arrival)
   UNION ALL
   SELECT 'index_creations', "partition", "offset", NULL, c.index_name,
     CASE WHEN len(errors) > 0 THEN 'rejected' WHEN c.arrival = r.created THEN 'created' ELSE 'exists' END, errors, 0
@@ -463,15 +474,9 @@ FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FR
     "delete_by_doc_id": view("live"),
     "replace_document": view("live JOIN last_writes USING (index_name, doc_id) WHERE arrival = last_written"),
     "stale_chunks": view("live JOIN last_writes USING (index_name, doc_id) WHERE arrival < last_written"),
-    # each write is seen through to the deletion that ends it, if its index was there when the deletion came
     "deletion_outcomes": with_(
         *log(SMALL),
-        """judged AS (SELECT d.*, coalesce(r.created < d.arrival, false) AS known
-  FROM deletions d LEFT JOIN registry r ON d.index_name = r.index_name WHERE len(errors) = 0)""",
-        """ended AS (SELECT w.index_name, w.doc_id, w.row_id, min(d.arrival) AS arrival FROM written w
-  JOIN judged d ON d.known AND d.index_name = w.index_name AND d.doc_id = w.doc_id AND d.arrival > w.arrival
-  GROUP BY w.index_name, w.doc_id, w.row_id, w.arrival)""",
-        """taken AS (SELECT index_name, doc_id, arrival, count(DISTINCT row_id) AS n FROM ended GROUP BY ALL)""",
+        DELETED,
         select="""SELECT "partition", "offset", doc_id, index_name,
   CASE WHEN NOT known THEN 'missing_index' WHEN n > 0 THEN 'deleted' ELSE 'nothing_found' END AS status,
   coalesce(n, 0) AS n_deleted, known AS success

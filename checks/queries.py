@@ -504,7 +504,7 @@ def redelivered_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcomes.outcome_summary(_streamed(spark, sf_dir).read("outcomes"))
+    return outcomes.outcome_summary(_streamed(spark, sf_dir).outcomes())
 
 
 def compacted_index(spark: SparkSession, sf_dir: str) -> DataFrame:

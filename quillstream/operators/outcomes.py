@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..schemas import OUTCOME
+from ..schemas import DELETIONS_TOPIC, OUTCOME
 
 MESSAGE_KEY = ["topic", "partition", "offset"]
 
@@ -72,13 +72,18 @@ def creation_outcomes(creations: DataFrame, registry: DataFrame) -> DataFrame:
     return _outcome(joined, _none(), F.col("index_name"), status, _reasons(), F.lit(0))
 
 
-def accepted_deletion_outcomes(deletes: DataFrame, registry: DataFrame) -> DataFrame:
-    """`accepted` or `missing_index`; how many rows a deletion hit is a report of its own, as it needs the state."""
-    made = registry.select("index_name", F.col("created").alias("_created"))
-    joined = deletes.join(made, "index_name", "left")
-    exists = F.col("_created") < F.col("arrival")
-    status = F.when(exists, F.lit("accepted")).otherwise(F.lit("missing_index"))
-    return _outcome(joined, F.col("doc_id"), F.col("index_name"), status, _reasons(), F.lit(0))
+def judged_deletion_outcomes(judged: DataFrame, topic: str = DELETIONS_TOPIC) -> DataFrame:
+    """Outcomes of valid deletions from what they did (`index_state.deletion_outcomes`): `missing_index`, `nothing_found`, or
+    `deleted` with the number of rows."""
+    keyed = judged.withColumns({"topic": F.lit(topic), "partition": F.col("arrival.partition"), "offset": F.col("arrival.offset")})
+    return _outcome(keyed, F.col("doc_id"), F.col("index_name"), F.col("status"), _reasons(), F.col("n_deleted"))
+
+
+def last_outcomes(outcomes: DataFrame) -> DataFrame:
+    """Of the outcomes of each message that of the last batch, with that `batch_id`."""
+    values = [name for name in outcomes.columns if name not in MESSAGE_KEY]
+    last = outcomes.groupBy(*MESSAGE_KEY).agg(F.max_by(F.struct(*values), "batch_id").alias("_last"))
+    return last.select(*[f"_last.{name}" if name in values else name for name in outcomes.columns])
 
 
 def union_outcomes(*parts: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import outcomes as O
 from ..operators.decode import decode_creations, decode_deletions
-from ..operators.index_state import live_rows
+from ..operators.index_state import deletion_outcomes, live_rows, stored
 from ..operators.routing import create_indices, route_existing, route_missing, seed_system_indices
 from ..operators.validate import accepted, rejected, validate_deletions, validate_index_creations
 from ..session import settle
@@ -52,14 +52,18 @@ class Replay:
         return replace(self, documents=settle(self.documents))._outcomes()
 
     def _outcomes(self) -> DataFrame:
+        # outcomes and the judging of deletions need the keys of rows only
+        columns = [*O.MESSAGE_KEY, "index_name", "doc_id", "row_id", "chunk_id", "error", "arrival"]
+        rows = settle(self.rows().select(*columns))
+        judged = deletion_outcomes(self.deletes, self.registry, stored(rows))
         return O.union_outcomes(
             O.rejected_outcomes(rejected(self.creations)),
             O.creation_outcomes(accepted(self.creations), self.registry),
             O.rejected_outcomes(rejected(self.deletions)),
-            O.accepted_deletion_outcomes(self.deletes, self.registry),
+            O.judged_deletion_outcomes(judged),
             O.rejected_outcomes(rejected(self.documents)),
             O.missing_index_outcomes(self.missing),
-            O.document_outcomes(self.rows()),
+            O.document_outcomes(rows),
         )
 
 

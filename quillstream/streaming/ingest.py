@@ -15,7 +15,7 @@ from ..functions.models import Embedder, RetryPolicy
 from ..operators import outcomes as O
 from ..operators.decode import decode_creations, decode_deletions, decode_documents
 from ..operators.embedding import check_dim, chunk_and_embed
-from ..operators.index_state import to_index_rows
+from ..operators.index_state import stored, to_index_rows
 from ..operators.routing import create_indices, route_all, seed_system_indices
 from ..plans.sizing import broadcast_if_small
 from ..operators.validate import (
@@ -82,7 +82,8 @@ def apply_batch(messages: DataFrame, batch_id: int, log: ChangeLog, settings: In
 
     Creations take effect before documents and deletes come last for equal times, by the arrival order. Documents are
     looked at once, in a pass that leaves rows of what was stored and marker rows of everything else; outcomes are read
-    back from the narrow columns of that. Only creations and deletions, which carry no text, are kept at hand.
+    back from the narrow columns of that. Deletions are judged with the keys of all writes, and those that earlier batches brought
+    once more if this batch bears on them. Only creations and deletions, which carry no text, are kept at hand.
     """
     creations = validate_index_creations(decode_creations(messages.where(F.col("topic") == CREATIONS_TOPIC)))
     deletions = validate_deletions(decode_deletions(messages.where(F.col("topic") == DELETIONS_TOPIC)))
@@ -95,6 +96,7 @@ def apply_batch(messages: DataFrame, batch_id: int, log: ChangeLog, settings: In
         log.write("deletes", batch_id, accepted(deletions))
         log.write("rows", batch_id, ingest_rows(route_all(documents, registry), settings))
         rows = log.batch("rows", batch_id)
+        log.write("keys", batch_id, stored(rows))
         log.write(
             "outcomes",
             batch_id,
@@ -102,12 +104,13 @@ def apply_batch(messages: DataFrame, batch_id: int, log: ChangeLog, settings: In
                 O.rejected_outcomes(rejected(creations)),
                 O.creation_outcomes(accepted(creations), registry),
                 O.rejected_outcomes(rejected(deletions)),
-                O.accepted_deletion_outcomes(accepted(deletions), registry),
+                O.judged_deletion_outcomes(log.judged_deletions(batch_id)),
                 O.unrouted_outcomes(rows.where(F.col("status").isNotNull())),
                 O.document_outcomes(rows.where(F.col("status").isNull())),
             ),
         )
         log.commit(batch_id)
+        log.fold()
     finally:
         for df in parsed:
             df.unpersist()
