@@ -152,7 +152,7 @@ class Merges:
             if piece[:-1].isalpha() and piece[-1] in ".,":  # the commonest other shapes, without a regex
                 return [piece[:-1].lower(), piece[-1]]
         if not piece.isascii():
-            if any(unicodedata.category(char) == "Cn" for char in piece):
+            if not piece.isprintable() and any(unicodedata.category(char) == "Cn" for char in piece):
                 # Python and the library may be of different Unicode versions about these characters
                 return [word for word, _ in self._library[1].pre_tokenize_str(self._library[0].normalize_str(piece))]
             # lower case by character, without Python's rule for a sigma at a word's end
@@ -186,14 +186,14 @@ def merges(path: str) -> Merges:
 
 
 class _Young(dict):
-    """A dictionary that notes what it was asked for in vain."""
+    """A dictionary that notes what it was asked for in vain, each time."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.missing: set[str] = set()
+        self.missing: list[str] = []
 
     def __missing__(self, piece: str) -> None:
-        self.missing.add(piece)
+        self.missing.append(piece)
 
 
 class PieceCache:
@@ -214,22 +214,21 @@ class PieceCache:
         for i, pieces in enumerate(lists):
             known = len(young.missing)
             found.append(list(map(young.__getitem__, pieces)))
-            if len(young.missing) > known or known and not young.missing.isdisjoint(pieces):
+            if len(young.missing) > known:
                 gaps.append(i)
-        missing, young.missing = young.missing, set()
+        missing, young.missing = set(young.missing), []
         if missing:
+            old = self.old
+            again = {piece: old[piece] for piece in missing if piece in old}
             if len(young) + len(missing) > self.limit and young:
                 self.old, self.young = young, _Young()
-                young, gaps = self.young, list(range(len(lists)))
-                missing = {piece for pieces in lists for piece in pieces}
-            old = self.old
-            fresh = {piece for piece in missing if piece not in old}
-            if fresh:
-                young.update(self.make(fresh))
-            for piece in missing.difference(fresh):
-                young[piece] = old[piece]
+                young = self.young
+            if len(again) < len(missing):
+                young.update(self.make(missing.difference(again)))
+            young.update(again)
+            # most are at hand, and a second look into a large dictionary is dear
             for i in gaps:
-                found[i] = list(map(young.__getitem__, lists[i]))
+                found[i] = [young[piece] if entry is None else entry for piece, entry in zip(lists[i], found[i])]
         return found
 
 

@@ -9,13 +9,13 @@ it, else 32), cut into frames of `FRAME_IDS` ids whatever the documents' borders
 
 so any zstandard reader unpacks the stream, and `lookup` fetches the tail and then only the frames of the documents asked for.
 
-Documents are dealt out by ranges of doc_id and sorted, so files are ascending and disjoint; each task streams its range
-into one file. A file's name is new for each attempt, and only files named in the settled manifest count: an executor
+Texts are encoded where they lie, and only their ids are dealt out by ranges of doc_id and sorted, so files are ascending and
+disjoint; each task streams its range into one file. A file's name is new for each attempt, and only files named in the settled manifest count: an executor
 lost half-way leaves at most an unnamed file behind. Files go to the folder in spark.checkpoint.dir or another shared one.
 
 Texts are encoded with the `tokenizers` library: its model gives the ids of each distinct word, see `bpe` for the cutting.
 
-Cases: null text is empty and has the end id only; null doc_id comes first; rows of one doc_id are ordered by text; an
+Cases: null text is empty and has the end id only; null doc_id comes first; rows of one doc_id are ordered by their ids' bytes; an
 empty table gives no file; a text of any length may span frames; other columns are not read.
 """
 
@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -39,13 +40,16 @@ from tokenizers import Tokenizer
 from quillstream.plans.sizing import source_bytes
 from quillstream.session import checkpoint_folder, settle
 
-from .bpe import PieceCache, byte_symbols, merges, split_spaces
+from .bpe import PieceCache, byte_symbols, merges
 from .common import ints, rows_of, text_of
 
 END_ID = 1
 FRAME_IDS = 1 << 16
 FILE_BYTES = 64 << 20  # of source for each file, at least as many files as shuffle partitions
 CACHE_PIECES = 400_000
+SLICE_BYTES = 8 << 20  # of text whose pieces are looked up together
+# White space beyond ASCII as the tokenizer file means it.
+_WIDE_SPACE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 # Fixed values of the zstandard seekable format.
 INDEX_MAGIC, SEEK_MAGIC, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -173,35 +177,32 @@ class _WordIds:
     """Ids of words by the library's model, as bytes of the file's width."""
 
     def __init__(self, path: str, width: int) -> None:
-        self.table, self.model = merges(path), Tokenizer.from_file(path).model
+        self.table, self.tokenize = merges(path), Tokenizer.from_file(path).model.tokenize
         self.symbol = byte_symbols()
         largest = max(self.table.size, max(self.table.special.values(), default=0) + 1)
         self.coded = [i.to_bytes(width, "little") for i in range(largest)]
 
-    def of_word(self, word: str | int) -> bytes:
+    def of_word(self, word: str) -> bytes:
         coded = self.coded
-        if isinstance(word, int):
-            return coded[word]
         plain = word.isascii() and word.isprintable()  # then its characters stand for themselves
-        tokens = self.model.tokenize(word if plain else "".join([self.symbol[byte] for byte in word.encode()]))
-        return b"".join([coded[token.id] for token in tokens])
+        tokens = self.tokenize(word if plain else "".join([self.symbol[byte] for byte in word.encode()]))
+        return coded[tokens[0].id] if len(tokens) == 1 else b"".join([coded[token.id] for token in tokens])
 
     def of_pieces(self, pieces: set[str], peek: Callable[[str], bytes | None]) -> dict[str, bytes]:
         """`peek` gives what is known already: a word alone is a piece of its own."""
         words: dict[str | int, bytes] = {}
         out = {}
+        of_word, special_words = self.of_word, self.table.special_words
         for piece in pieces:
             if piece.isalpha() and piece.isascii():  # one word, and known to be new
-                out[piece] = self.of_word(piece.lower())
+                word = piece.lower()
+                out[piece] = words[word] = words.get(word) or of_word(word)
                 continue
-            parts = []
-            for word in self.table.special_words(piece):
-                found = words.get(word)
-                if found is None:
-                    found = (peek(word) if isinstance(word, str) else None) or self.of_word(word)
-                    words[word] = found
-                parts.append(found)
-            out[piece] = parts[0] if len(parts) == 1 else b"".join(parts)
+            own = special_words(piece)
+            for word in own:
+                if word not in words:
+                    words[word] = self.coded[word] if isinstance(word, int) else peek(word) or of_word(word)
+            out[piece] = words[own[0]] if len(own) == 1 else b"".join([words[word] for word in own])
         return out
 
 
@@ -213,6 +214,36 @@ def _worker_cache(path: str, width: int) -> PieceCache:
     return cache
 
 
+def _pieces_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of all texts between white space and the number of each text's; some may be empty."""
+    ascii = pc.string_is_ascii(texts)
+    if not pc.all(ascii).as_py():
+        texts = pc.replace_substring_regex(texts, _WIDE_SPACE, " ")
+    plain = pc.and_(ascii, pc.invert(pc.match_substring(texts, "<")))
+    lists = pc.ascii_split_whitespace(pc.if_else(plain, pc.ascii_lower(texts), texts))
+    return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _ids_of(texts: pa.Array, cache: PieceCache, width: int) -> pa.Array:
+    """Ids of each text with the end id, as bytes: each different piece is looked up once, and its ids are gathered for all places."""
+    pieces, counts = _pieces_of(texts)
+    coded = pieces.dictionary_encode()
+    # one string that is split again: faster than a string each, and no piece has a line's end
+    joined = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), "\n")
+    entries = cache.of([joined[0].as_py().split("\n")])[0]
+    kind = f"<u{width}"
+    flat = np.concatenate([np.frombuffer(b"".join(entries), kind), np.array([END_ID], kind)])
+    sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // width
+    sizes, first = np.append(sizes, 1), np.append(np.cumsum(sizes) - sizes, len(flat) - 1)
+    ends = np.cumsum(counts)
+    places = np.insert(coded.indices.to_numpy(zero_copy_only=False), ends, len(entries))
+    n_ids = sizes[places]
+    done = np.cumsum(n_ids)
+    ids = flat[np.repeat(first[places] - (done - n_ids), n_ids) + np.arange(done[-1])]
+    offsets = np.append(0, done[ends + np.arange(len(ends))] * width).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
 def write_token_files(docs: DataFrame, path: str, folder: str | None = None) -> DataFrame:
     """Write the files and return their settled manifest, in ascending order of `part`."""
     spark = docs.sparkSession
@@ -221,22 +252,22 @@ def write_token_files(docs: DataFrame, path: str, folder: str | None = None) ->
     if size < 1 << 60:  # else the source has no statistics
         parts = max(parts, size // FILE_BYTES)
     width = 2 if merges(path).size + len(merges(path).special) <= 1 << 16 else 4
-    end = np.array([END_ID], f"<u{width}").tobytes()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _worker_cache(path, width)
+        for batch in rows_of(batches, SLICE_BYTES):
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0), _ids_of(batch.column(1), cache, width)], names=["doc_id", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, name = None, f"{root}/{TaskContext.get().partitionId():07d}-{uuid.uuid4().hex}.tokens"
-        cache = _worker_cache(path, width)
-        for batch in rows_of(batches):
+        for batch in batches:
             if writer is None and batch.num_rows:
                 store, local = open_fs(name)
                 store.create_dir(local.rsplit("/", 1)[0], recursive=True)
                 writer = TokenWriter(store.open_output_stream(local), width)
-            texts = batch.column(1).to_pylist()
-            pieces = [split_spaces(text.lower() if text.isascii() and "<" not in text else text) for text in texts]
-            for start in range(0, len(pieces), 64):
-                found = cache.of(pieces[start : start + 64])
-                for doc_id, own in zip(batch.column(0)[start : start + 64].to_pylist(), found):
-                    writer.add(doc_id, b"".join(own) + end)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+                writer.add(doc_id, ids.as_py())
         if writer is None:
             return
         writer.close()
@@ -247,7 +278,10 @@ def write_token_files(docs: DataFrame, path: str, folder: str | None = None) ->
         names = [field.split()[0] for field in MANIFEST.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(row, kinds)], names=names)
 
-    ordered = text_of(docs).repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # settled, as the ranges are drawn from it before it is dealt out
+    ids = settle(text_of(docs).mapInArrow(encoded, "doc_id bigint, ids binary"))
+    order = F.col("doc_id").asc_nulls_first()
+    ordered = ids.repartitionByRange(parts, order).sortWithinPartitions(order, "ids")
     return settle(ordered.mapInArrow(run, MANIFEST))
 
 

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import zstandard
@@ -63,6 +64,16 @@ def test_small_cache_changes_nothing(library):
             assert ids == " ".join(map(str, library.encode(text, add_special_tokens=False).ids))
 
 
+def test_slices_equal_the_library(library):
+    texts = [text or "" for text in TEXTS] + fuzz(800, seed=11) + ["", "ab\u2003c\u0085d\xa0\u3000e <|ENDOFTEXT|> \x1c", "Plain Text, only"]
+    for width, size in ((2, 1), (2, 40), (4, 300)):
+        cache = token_files._worker_cache.__wrapped__(PATH, width)
+        for start in range(0, len(texts), size):
+            some = texts[start : start + size]
+            for text, ids in zip(some, token_files._ids_of(pa.array(some, pa.string()), cache, width), strict=True):
+                assert np.frombuffer(ids.as_py(), f"<u{width}").tolist() == library.encode(text, add_special_tokens=False).ids + [1], text
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert bpe.encode(docs, PATH).count() == 0
@@ -76,8 +87,9 @@ def test_files_give_back_the_ids(spark, library, monkeypatch):
     manifest = token_files.write_token_files(spark.createDataFrame(table, SCHEMA).repartition(5), PATH)
     found = token_files.read_token_files(manifest).orderBy("start").collect()
     start = 0
-    for row, (doc_id, text, *_) in zip(found, sorted(table, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")), strict=True):
-        ids = library.encode(text or "", add_special_tokens=False).ids + [1]
+    written = [(doc_id, library.encode(text or "", add_special_tokens=False).ids + [1]) for doc_id, text, *_ in table]
+    written.sort(key=lambda r: (r[0] is not None, r[0] or 0, np.array(r[1], "<u2").tobytes()))
+    for row, (doc_id, ids) in zip(found, written, strict=True):
         crc = zlib.crc32(np.array(ids, "<u4").tobytes())
         assert (row.doc_id, row.start, row.n_tokens, row.ids_crc32) == (doc_id, start, len(ids), crc)
         start += len(ids)
