@@ -1,7 +1,8 @@
 """Operator 1: token counts as rollups that are maintained by deltas.
 
 A `TokenRollup` is a folder with three tables of one subfolder per batch. A batch of changes(doc_id, tokenizer, seq, op,
-source, lang, n_tokens) is committed like this:
+source, lang, n_docs, n_tokens) is committed like this; doc_id is any key of documents, kept as a string, and n_docs the
+number of equal rows that the key stands for:
 
     state     what is known of each document and tokenizer version the batch touches, after it
     deltas    signed sums by source, lang and tokenizer: what was counted before goes out, what counts now comes in
@@ -16,9 +17,9 @@ Changes are reduced to one row of each document and tokenizer before they meet t
 each task before the shuffle, so a source of any share costs as many rows as others. `compact` folds the state of all
 batches into one, and the deltas too.
 
-Cases: nulls in doc_id, source, lang or tokenizer are values like any other; a null n_tokens counts 0 tokens; a null op is
-an insert, a null seq comes before any other; of events with one seq the largest (op, n_tokens, source, lang) counts, so
-repeated rows count once; a delete of what is not there is remembered but changes no total; groups without documents are
+Cases: nulls in doc_id, source, lang or tokenizer are values like any other; a null n_tokens counts 0 tokens, a null n_docs one
+document; a null op is an insert, a null seq comes before any other; of events with one seq the largest (op, n_tokens,
+source, lang, n_docs) counts, so repeated events count once; a delete of what is not there is remembered but changes no total; groups without documents are
 no rows; columns other than these are not read. Batches are committed in ascending order by one writer.
 """
 
@@ -29,9 +30,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillstream.session import settle
 
+from .common import row_key
+
 KEY = ("doc_id", "tokenizer")
 GROUP = ("source", "lang", "tokenizer")
-STATE = "doc_id bigint, tokenizer string, seq bigint, alive boolean, source string, lang string, n_tokens bigint"
+CARRIED = ("seq", "alive", "source", "lang", "n_docs", "n_tokens")
+STATE = "doc_id string, tokenizer string, seq bigint, alive boolean, source string, lang string, n_docs bigint, n_tokens bigint"
 DELTAS = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
 COMMITS = "committed boolean"
 SCHEMAS = {"state": STATE, "deltas": DELTAS, "commits": COMMITS, "state_base": STATE, "deltas_base": DELTAS, "bases": COMMITS}
@@ -49,10 +53,14 @@ def counted(text: Column, tokenizer: str) -> Column:
 
 
 def changes(rows: DataFrame, op: str, seq: int, counts: dict[str, Column]) -> DataFrame:
-    """One event for each of rows(doc_id, source, lang, ...) and tokenizer version, with its count."""
+    """One event for each of rows(doc_id, source, lang, ...) and tokenizer version, with its count, which is one of all
+    `n_docs` rows where `rows` has that column."""
+    n_docs = F.col("n_docs") if "n_docs" in rows.columns else F.lit(1)
     events = F.array(*[F.struct(F.lit(name).alias("tokenizer"), count.cast("bigint").alias("n_tokens")) for name, count in counts.items()])
-    each = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "lang", F.explode(events).alias("event"))
-    return each.select("doc_id", "event.tokenizer", F.lit(seq).cast("bigint").alias("seq"), F.lit(op).alias("op"), "source", "lang", "event.n_tokens")
+    each = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "source", "lang", n_docs.cast("bigint").alias("n_docs"), F.explode(events).alias("event"))
+    return each.select(
+        "doc_id", "event.tokenizer", F.lit(seq).cast("bigint").alias("seq"), F.lit(op).alias("op"), "source", "lang", "n_docs", "event.n_tokens"
+    )
 
 
 def _same_key(left: DataFrame, right: DataFrame) -> Column:
@@ -61,12 +69,12 @@ def _same_key(left: DataFrame, right: DataFrame) -> Column:
 
 def _latest(state: DataFrame) -> DataFrame:
     """The last known row of each document and tokenizer."""
-    last = F.max(F.struct(F.coalesce("seq", F.lit(-(1 << 62))).alias("at"), "seq", "alive", "source", "lang", "n_tokens")).alias("last")
-    return state.groupBy(*KEY).agg(last).select(*KEY, *[F.col(f"last.{name}") for name in ("seq", "alive", "source", "lang", "n_tokens")])
+    last = F.max(F.struct(F.coalesce("seq", F.lit(-(1 << 62))).alias("at"), *CARRIED)).alias("last")
+    return state.groupBy(*KEY).agg(last).select(*KEY, *[F.col(f"last.{name}") for name in CARRIED])
 
 
 def _signed(rows: DataFrame, sign: int) -> DataFrame:
-    return rows.select(*GROUP, F.lit(sign).cast("bigint").alias("n_docs"), (F.col("n_tokens") * sign).alias("n_tokens"))
+    return rows.select(*GROUP, (F.col("n_docs") * sign).alias("n_docs"), (F.col("n_tokens") * sign).alias("n_tokens"))
 
 
 def _summed(deltas: DataFrame) -> DataFrame:
@@ -107,19 +115,21 @@ class TokenRollup:
         last = self._last("commits")
         if batch <= last:
             return False
+        n_docs = F.coalesce(F.col("n_docs").cast("bigint"), F.lit(1)) if "n_docs" in events.columns else F.lit(1).cast("bigint")
         event = F.struct(
             F.coalesce(F.col("seq").cast("bigint"), F.lit(-(1 << 62))).alias("at"), F.coalesce("op", F.lit("insert")).alias("op"),
-            F.coalesce(F.col("n_tokens").cast("bigint"), F.lit(0)).alias("n_tokens"), F.col("source"), F.col("lang"), F.col("seq").cast("bigint").alias("seq"),
+            F.coalesce(F.col("n_tokens").cast("bigint"), F.lit(0)).alias("n_tokens"), F.col("source"), F.col("lang"), n_docs.alias("n_docs"),
+            F.col("seq").cast("bigint").alias("seq"),
         )
-        newest = events.groupBy(F.col("doc_id").cast("bigint").alias("doc_id"), "tokenizer").agg(F.max(event).alias("e"))
-        new = settle(newest.select(*KEY, "e.seq", (F.col("e.op") != "delete").alias("alive"), "e.source", "e.lang", "e.n_tokens"))
+        newest = events.groupBy(F.col("doc_id").cast("string").alias("doc_id"), "tokenizer").agg(F.max(event).alias("e"))
+        new = settle(newest.select(*KEY, "e.seq", (F.col("e.op") != "delete").alias("alive"), "e.source", "e.lang", "e.n_docs", "e.n_tokens"))
         known = self._visible("state", last)
         old = _latest(known.join(new, _same_key(known, new), "left_semi"))
         late = new.alias("new").join(old.alias("old"), _same_key(new, old), "left").filter(
             F.col("old.alive").isNull() | (F.coalesce("new.seq", F.lit(-(1 << 62))) > F.coalesce("old.seq", F.lit(-(1 << 62))))
         )
-        applied = settle(late.select("new.*", *[F.col(f"old.{name}").alias(f"old_{name}") for name in ("alive", "source", "lang", "n_tokens")]))
-        out = applied.filter("old_alive").select("tokenizer", *[F.col(f"old_{name}").alias(name) for name in ("source", "lang", "n_tokens")])
+        applied = settle(late.select("new.*", *[F.col(f"old.{name}").alias(f"old_{name}") for name in CARRIED[1:]]))
+        out = applied.filter("old_alive").select("tokenizer", *[F.col(f"old_{name}").alias(name) for name in CARRIED[2:]])
         deltas = _signed(out, -1).unionByName(_signed(applied.filter("alive"), 1))
         self._write("state", batch, applied.select(*[field.split()[0] for field in STATE.split(", ")]))
         self._write("deltas", batch, _summed(deltas))
@@ -143,19 +153,22 @@ def recount(rollup: TokenRollup, docs: DataFrame, labels: DataFrame) -> DataFram
     """A corpus's life in four batches: all documents come in; toxic ones go; those of low quality are cleaned of digits
     and counted anew, by a newer version of one tokenizer; then two of the batches are delivered again.
 
-    A document is its doc_id: rows of one id, or without any, are one document, of which the largest event counts. A label
-    without a toxic mark counts as not toxic."""
+    A document is a row: rows are told apart by doc_id, text, source and language, and those that agree in all four are counted
+    together, as so many documents of one key. A null doc_id has no label; a label without a toxic mark counts as not toxic."""
     # texts are counted where they are, as they came and cleaned; only counts meet the labels
     text, cleaned = F.col("text"), F.regexp_replace("text", "[0-9]+", "")
-    rows = settle(
-        docs.select(
-            "doc_id", "source", "lang", counted(text, "space-1").alias("space"), counted(text, "alnum-1").alias("alnum"),
-            counted(cleaned, "space-1").alias("cleaned_space"), counted(cleaned, "alnum-2").alias("cleaned_alnum"),
-        )
-    )
-    marks = settle(labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality")))
-    toxic = rows.join(marks.filter("toxic = 1"), "doc_id", "left_semi")
-    poor = rows.join(marks.filter("quality = 0 and coalesce(toxic, 0) <> 1"), "doc_id", "left_semi")
+    key = F.concat_ws(":", row_key(), F.hex(F.xxhash64("source", F.col("source").isNull(), "lang", F.col("lang").isNull())))
+    counts = [
+        counted(text, "space-1").alias("space"), counted(text, "alnum-1").alias("alnum"),
+        counted(cleaned, "space-1").alias("cleaned_space"), counted(cleaned, "alnum-2").alias("cleaned_alnum"),
+    ]
+    one_each = docs.select(F.col("doc_id").cast("bigint").alias("label_id"), key.alias("doc_id"), "source", "lang", *counts)
+    names = one_each.columns[4:]
+    alike = one_each.groupBy("label_id", "doc_id", "source", "lang", *names).agg(F.count(F.lit(1)).alias("n_docs"))
+    rows = settle(alike.select("label_id", "doc_id", "source", "lang", "n_docs", *[(F.col(name) * F.col("n_docs")).alias(name) for name in names]))
+    marks = settle(labels.groupBy(F.col("doc_id").cast("bigint").alias("label_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality")))
+    toxic = rows.join(marks.filter("toxic = 1"), "label_id", "left_semi")
+    poor = rows.join(marks.filter("quality = 0 and coalesce(toxic, 0) <> 1"), "label_id", "left_semi")
     none = F.lit(0)
     removed = changes(toxic, "delete", 2, {"space-1": none, "alnum-1": none})
     revised = (
