@@ -128,10 +128,17 @@ def held_out() -> Column:
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray]]:
     """Distinct n-grams of up to `per_language` texts of each language, those of the least hash; at most 266,304 numbers a text."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & (F.coalesce(F.length("text"), F.lit(0)) > 0))
-    hashed = labelled.select("lang", F.xxhash64("text").alias("order"))
-    # cut in each task before the shuffle, so a language of any share costs the same
+    hashed = settle(labelled.select("lang", F.xxhash64("text").alias("order")))
+    # about four times the rows that are wanted lie below a language's threshold, so that a task hands on few rows of any
+    # language; one that has too few texts there, as of copies, is ranked whole
+    share = F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.count(F.lit(1)))
+    below = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise(((share - 0.5) * float(1 << 64)).cast("bigint"))
+    limits = settle(hashed.groupBy("lang").agg(below.alias("below")))
+    under = hashed.join(small(limits), "lang").filter("order <= below").select("lang", "order")
+    few = settle(hashed.select("lang").distinct().join(under.distinct().groupBy("lang").count(), "lang", "left").filter(F.coalesce("count", F.lit(0)) < per_language).select("lang"))
+    whole = hashed.join(small(few), "lang", "left_semi").unionByName(under.join(small(few), "lang", "left_anti"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    chosen = settle(hashed.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("lang", "order").distinct())
+    chosen = settle(whole.distinct().withColumn("rank", rank).filter(F.col("rank") <= per_language).select("lang", "order"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
