@@ -547,6 +547,11 @@ FROM (SELECT doc_id, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS i FR
     "lookup_one_doc": with_(
         *log(SMALL),
         select="""SELECT index_name, row_id, CAST(n_words AS INTEGER) AS n_words, text_md5 FROM latest
+  WHERE index_name = 'user_chat_topic' AND doc_id = concat('conv-', (SELECT max(conv_id) FROM conversations))""",
+    ),
+    "point_read": with_(
+        *log(SMALL),
+        select="""SELECT index_name, row_id, CAST(n_words AS INTEGER) AS n_words, text_md5 FROM live
   WHERE index_name = 'user_chat_topic' AND doc_id = concat('conv-', (SELECT max(conv_id) FROM conversations))""",
     ),
     "index_head_of_one": with_(

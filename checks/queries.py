@@ -592,6 +592,13 @@ def lookup_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.lookup_docs(rows, state.deletes).select("index_name", "row_id", "n_words", text_md5())
 
 
+def point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of the last conversation, read from the stored log."""
+    last = table(spark, sf_dir, "conversations").agg(F.max("conv_id")).first()[0]
+    rows = _streamed(spark, sf_dir).documents("user_chat_topic", [f"conv-{last}"])
+    return rows.select("index_name", "row_id", "n_words", text_md5())
+
+
 def lookup_one_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of the last conversation."""
     state = replayed(spark, sf_dir, SMALL)
@@ -672,6 +679,7 @@ QUERIES = {
     "filtered_search": filtered_search,
     "lookup_doc": lookup_docs,
     "lookup_one_doc": lookup_one_doc,
+    "point_read": point_read,
     "index_head_of_one": index_head_of_one,
     "index_head": index_head,
 }

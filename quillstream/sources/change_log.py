@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.ids import index_kind
 from ..operators.index_state import apply_deletes, deletion_outcomes, latest_stored_rows, of_last_version, stored
@@ -49,6 +49,8 @@ SCHEMAS = {
 }
 # Tables of every batch, whose folders are folded.
 LOGGED = ("rows", "keys", "deletes", "registry", "outcomes")
+# A read of a few documents skips the row groups whose filter of doc_id has none of them; filters grow with what they hold.
+BLOOM_FILTER = {"parquet.bloom.filter.enabled#doc_id": "true", "parquet.bloom.filter.adaptive.enabled#doc_id": "true"}
 FOLD = 10  # folders of one level that are folded into one of the next
 
 
@@ -64,7 +66,8 @@ class ChangeLog:
     def _write(self, table: str, df: DataFrame, first: int, last: int, level: int = 0) -> Part:
         """Write to a new folder, which nobody sees before a version names it."""
         folder = f"{table}/{first}-{last}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{folder}")
+        writer = df.write.options(**BLOOM_FILTER) if "doc_id" in df.columns else df.write
+        writer.parquet(f"{self.path}/{folder}")
         return Part(folder, first, last, level)
 
     def write(self, table: str, batch_id: int, df: DataFrame) -> None:
@@ -189,6 +192,29 @@ class ChangeLog:
             live = of_last_version(live, rows)
         return live
 
+    def documents(self, index_name: str, doc_ids: Sequence[str], replace_document: bool = False) -> DataFrame:
+        """Live rows of some documents of one index, the same as `live` gives of them, as one narrow query.
+
+        Both conditions reach the scans, where the bounds and Bloom filters of row groups skip what has none of the
+        documents. What is left are the versions of these few, so nothing is measured or settled on the way.
+        """
+        version = self._manifest.current()
+        columns = [f.name for f in INDEX_ROW.fields]
+        logged = stored(self._between(version, "rows", version.compacted, version.committed)).select(*columns, "batch_id")
+        snapshot = self._frame("snapshot", version.of("snapshot")).select(*columns, "batch_id")
+        wanted = {"index_name": index_name, "doc_id": list(doc_ids)}
+        rows = filter_index(logged.unionByName(snapshot), **wanted)
+        deletes = filter_index(self._between(version, "deletes", None, version.committed), **wanted)
+        marks = deletes.select("index_name", "doc_id", F.col("arrival").alias("_deleted"))
+        # a row's id holds its document's, so both windows need one shuffle
+        by_document = Window.partitionBy("index_name", "doc_id")
+        newest_first = Window.partitionBy("index_name", "doc_id", "row_id").orderBy(F.desc("arrival"), F.desc("batch_id"))
+        found = rows.unionByName(marks, allowMissingColumns=True).select(
+            *columns, F.max("_deleted").over(by_document).alias("_deleted"), F.max("arrival").over(by_document).alias("_last"), F.row_number().over(newest_first).alias("_n")
+        )
+        alive = F.col("row_id").isNotNull() & (F.col("_n") == 1) & (F.col("_deleted").isNull() | (F.col("arrival") > F.col("_deleted")))
+        return found.where(alive & (F.col("arrival") == F.col("_last")) if replace_document else alive).select(*columns)
+
     def compact(self, files: int | None = None) -> None:
         """Write the live index as a snapshot, sorted by index and row, in place of the rows it was made of.
 

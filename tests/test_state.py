@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from messages import creation, deletion, document, envelope
 from pyspark.errors import StreamingQueryException
@@ -16,7 +18,7 @@ from quillstream.operators.outcomes import outcome_summary
 from quillstream.operators.routing import all_system_ready, create_indices, seed_system_indices
 from quillstream.plans.replay import replay
 from quillstream.session import settle
-from quillstream.sources.change_log import ChangeLog
+from quillstream.sources.change_log import SCHEMAS, ChangeLog
 from quillstream.sources.messages import MessageSource
 from quillstream.streaming.ingest import IngestSettings, Sources, apply_batch, backfill, prepare
 
@@ -319,3 +321,55 @@ def test_a_narrow_read_filters_before_keys_are_compared(spark, tmp_path):
     narrow = log.live(index_name="user_1_topic", doc_ids=["shrinks", "deleted"])
     assert shown(narrow) == {row for row in LIVE if row[1].startswith("shrinks")}
     assert "PushedFilters: [IsNotNull(index_name), " in narrow._jdf.queryExecution().toString().replace("EqualTo(index_name,user_1_topic), ", "")
+
+
+def test_a_point_read_equals_the_live_index(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "out"))
+    prepare(log, SETTINGS)
+    documents, deletions, creations = all_messages(spark)
+    everything = documents.unionByName(deletions).unionByName(creations)
+    asked = ["shrinks", "deleted", "absent", *sorted({row[1].rsplit("_", 1)[0] for row in LIVE})]
+
+    def agree():
+        for replace_document in (False, True):
+            narrow = log.live(replace_document, "user_1_topic", asked)
+            found = log.documents("user_1_topic", asked, replace_document)
+            assert sorted(map(str, found.collect())) == sorted(map(str, narrow.collect()))
+            assert found.schema == narrow.schema
+
+    agree()  # an empty log
+    apply_batch(everything, 0, log, SETTINGS)
+    agree()
+    log.compact()
+    agree()
+    apply_batch(everything, 1, log, SETTINGS)
+    agree()
+    assert log.documents("user_1_topic", asked).count() > 2
+    assert log.documents("user_1_topic", []).count() == 0 == log.documents("absent", asked).count()
+    context = spark.sparkContext
+    context.setJobGroup("point read", "")
+    log.documents("user_1_topic", ["shrinks"]).collect()
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("point read")) <= 3
+
+
+def test_a_point_read_skips_row_groups(spark, tmp_path):
+    """Ids that lie between the bounds of every row group, so that nothing but the Bloom filters tells them apart."""
+    log = ChangeLog(spark, str(tmp_path / "out"))
+    row = {f.name: F.lit(None).cast(f.dataType) for f in SCHEMAS["snapshot"].fields}
+    row |= {"index_name": F.lit("i"), "doc_id": F.concat(F.lit("d"), F.col("id").cast("string")), "row_id": F.concat(F.lit("d"), F.col("id").cast("string"), F.lit("_0"))}
+    rows = spark.range(40_000).repartition(8, "id").select(*[value.alias(name) for name, value in row.items()])
+    part = log._write("snapshot", rows.withColumn("batch_id", F.lit(0).cast("bigint")), 0, 0)
+    log._manifest.publish(lambda old: replace(old.with_parts(snapshot=[part]), committed=0, compacted=0))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = {}
+        for wanted in ("d23456", "d2345x"):
+            found = log._frame("snapshot", [part]).where(F.col("doc_id") == wanted)
+            assert len(found.collect()) == (wanted == "d23456")
+            leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+            read[wanted] = sum(leaves.apply(n).metrics().apply("numOutputRows").value() for n in range(leaves.size()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert read["d23456"] <= 10_000 and read["d2345x"] <= 10_000
+    assert [r.row_id for r in log.documents("i", ["d23456"]).collect()] == ["d23456_0"]
