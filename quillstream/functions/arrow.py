@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # A task hands on a batch when it holds this many characters, whatever the number of rows.
-FLUSH_CHARS = 8 << 20
+FLUSH_CHARS = 1 << 20
 
 
 def expand(batch: pa.RecordBatch, keep: Sequence[str], rows: Sequence[int], extra: dict[str, pa.Array]) -> pa.RecordBatch:

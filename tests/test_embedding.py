@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quillstream.functions import hashing
 from quillstream.functions.hashing import HashEmbedder, HashEmbedderFactory
 from quillstream.functions.models import RetryPolicy, TransportError, embed_document, in_index_order
 from quillstream.operators.embedding import (
@@ -153,3 +155,30 @@ def test_hash_vectors(spark):
     assert not HashEmbedder(16)(["..."])[0].any()
     df = spark.createDataFrame([("a", "Ab ab, cd_1 é")], "doc_id string, text string")
     assert embed(df, HashEmbedderFactory(16)).first()["embedding"] == vector.tolist()
+
+
+def test_token_cache_is_bounded_and_keeps_vectors(monkeypatch):
+    texts = [f"common word{n} {n}" for n in range(200)]
+    wanted = HashEmbedder(16)(texts)
+    monkeypatch.setattr(hashing, "_CACHE_LIMIT", 10)
+    model = HashEmbedder(16)
+    for text, vector in zip(texts, wanted):
+        assert (model([text])[0] == vector).all()
+        assert "common" in model._places or "common" in model._earlier
+        assert len(model._places) <= 10 and len(model._earlier) <= 10
+
+
+def test_chunks_are_handed_on_in_small_batches(spark):
+    """A task holds the chunks of about a million characters, not of a whole batch of documents."""
+    docs = spark.range(1).selectExpr("id AS doc_id", "'x' AS text")
+    made = {}
+
+    class Caught:
+        columns, schema = docs.columns, docs.schema
+        select = lambda self, *names: self
+        mapInArrow = lambda self, run, schema: made.update(run=run)
+
+    chunk_and_embed(Caught(), HashEmbedderFactory(8), 40, 10)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": ["word " * 20_000] * 60})
+    sizes = [out.column("text").nbytes for out in made["run"](iter([batch]))]
+    assert sum(sizes) > 6_000_000 and max(sizes) < 2_000_000
