@@ -116,6 +116,11 @@ def vector_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lsh_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors with their buckets, stored: a search reads them for each block of queries, in tasks of their own."""
+    return settle(search.with_lsh(vector_index(spark, sf_dir), DIM))
+
+
 def row_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row whose id is divisible by 20: the queries grow with the table."""
     rows = table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0")
@@ -545,15 +550,13 @@ def knn_search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_lsh_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = search.with_lsh(vector_index(spark, sf_dir), DIM)
-    return _hits(search.knn_lsh(near, row_queries(spark, sf_dir), K, DIM))
+    return _hits(search.knn_lsh(lsh_index(spark, sf_dir), row_queries(spark, sf_dir), K, DIM))
 
 
 def knn_lsh_rows_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = row_queries(spark, sf_dir)
     exact = search.knn_search(vector_index(spark, sf_dir), queries, K, DIM)
-    near = search.with_lsh(vector_index(spark, sf_dir), DIM)
-    found = search.recall(exact, search.knn_lsh(near, queries, K, DIM))
+    found = search.recall(exact, search.knn_lsh(lsh_index(spark, sf_dir), queries, K, DIM))
     return found.select("query_id", "n_exact", "n_found", F.round("recall", 6).alias("recall"))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,8 @@ PLACES = 6
 QUERY_BYTES = 4 << 20
 # Best hits a task keeps before it hands them on.
 KEPT_HITS = 2_000_000
-# Pairs of a query and a row that a task scores at once.
-CELLS = 2_000_000
+# Pairs of a query and a row that a task scores at once; it holds some ten arrays of them.
+CELLS = 500_000
 # Random vectors of 64 places need as many tables for nine of ten neighbours; README has the recall by scale.
 LSH_TABLES, LSH_BITS = 64, 6
 # Query terms up to this number are looked for in the JVM already, so that other tokens never reach Python.
@@ -425,6 +425,7 @@ def knn_search(idx: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFram
     return _nearest(idx, queries, k, dim, None)
 
 
+@cache
 def lsh_planes(dim: int, tables: int, bits: int) -> np.ndarray:
     """Hyperplanes of +1 and -1, from a hash of their place: the same on every machine and in SQL."""
     names = (f"{table}:{bit}:{place}" for table in range(tables) for bit in range(bits) for place in range(dim))
