@@ -22,7 +22,7 @@ from quillstream.operators.validate import (
 from quillstream.plans import derived
 from quillstream.plans.derived import table
 from quillstream.plans.replay import Replay, registry_of, replay
-from quillstream.plans.sizing import spread
+from quillstream.plans.sizing import packed, spread
 from quillstream.schemas import ENVELOPE
 from quillstream.session import checkpoint_folder, configure, settle, settled_path
 from quillstream.sources.change_log import ChangeLog
@@ -145,8 +145,14 @@ def _source_view(messages: DataFrame, field: str) -> DataFrame:
     )
 
 
+# A file is split by its row groups, so a batch of a few large files is still work for all cores.
+ROW_GROUP_BYTES = 8 << 20
+
+
 def _through_source(messages: DataFrame) -> MessageSource:
-    return MessageSource("parquet", settled_path(messages.select(*ENVELOPE.names)))
+    """The messages as files whose number follows their size, not the splits that the tables are read in."""
+    files = packed(messages.select(*ENVELOPE.names), "partition", "offset")
+    return MessageSource("parquet", settled_path(files, **{"parquet.block.size": str(ROW_GROUP_BYTES)}))
 
 
 def src_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,7 +486,7 @@ def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed(spark: SparkSession, sf_dir: str) -> ChangeLog:
     """All messages through the file source and the streaming ingest, documents in batches of four files."""
     configure(spark)
-    documents = _through_source(spread(derived.document_messages(spark, sf_dir), "partition", "offset"))
+    documents = _through_source(derived.document_messages(spark, sf_dir))
     sources = Sources(
         documents=replace(documents, options={"maxFilesPerTrigger": "4"}),
         deletions=_through_source(derived.deletion_messages(spark, sf_dir)),

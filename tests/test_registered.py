@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks import queries
 from checks.compare import difference, oracle
 from checks.oracle import SQL, WITHOUT_SQL
 from checks.queries import DIM, K, QUERIES, vector_index
@@ -36,6 +37,19 @@ def test_lsh_finds_nine_of_ten_neighbours(spark, scale):
     assert recall.first()[0] >= 0.9
 
 
+def test_lsh_search_reads_stored_buckets(spark):
+    """A search of several blocks makes no bucket again, and its tasks hold one Python worker."""
+    found = queries.knn_lsh_rows(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count("MapInArrow") == 1
+
+
+def test_a_stream_gets_files_by_size_not_by_split(spark, tmp_path):
+    rows = spark.range(400).selectExpr("'t' AS topic", "0 AS partition", "id AS offset", "timestamp_micros(id) AS timestamp", "'{}' AS value")
+    source = queries._through_source(rows.repartition(40))
+    assert len(spark.read.parquet(source.path).inputFiles()) <= spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(source.path).exceptAll(rows).isEmpty() and spark.read.parquet(source.path).count() == 400
+
+
 def test_entry(spark):
     found = entry.entry(spark)
     assert found.columns == ["query_id", "index_name", "row_id", "score", "rank"]

@@ -183,6 +183,13 @@ def test_spread_shuffles_small_sources_only(spark, tmp_path, monkeypatch):
     assert sizing.spread(df, "id") is df
 
 
+def test_packed_deals_by_bytes(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    assert sizing.packed(spark.range(100).repartition(40), "id").rdd.getNumPartitions() == cores
+    monkeypatch.setattr(sizing, "source_bytes", lambda df: 9 * sizing.FILE_BYTES + 1)
+    assert sizing.packed(spark.range(100), "id").rdd.getNumPartitions() == 10
+
+
 def test_full_text_search_shuffles_only_the_best_of_each_task(spark):
     """Tokens and term counts stay where the text is, and a task hands on at most k rows of each query and index."""
     idx = spark.createDataFrame(TEXTS, "index_name string, row_id string, text string")
