@@ -77,6 +77,16 @@ def test_a_search_reads_no_text(spark, corpus, tmp_path):
     assert scans and all("PushedFilters: [In(term" in line or "PushedFilters: [IsNotNull(" in line for line in scans)
 
 
+def test_postings_are_dealt_out_by_number(corpus, monkeypatch):
+    """However few partitions a session has, a task adds up and sorts a bounded number of postings."""
+    index, queries = inverted.build_inverted(corpus[0]), corpus[1]
+    asked = inverted._asked_blocks(index, queries, search.K1, search.B).agg(F.sum(F.size("ids"))).first()[0]
+    monkeypatch.setattr(inverted, "TASK_POSTINGS", asked // 9)
+    plan = inverted.inverted_search(index, queries, 5)._jdf.queryExecution().optimizedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "RepartitionByExpression [index_name" in line and "row_id" in line]
+    assert dealt and dealt[0].rstrip().endswith(", 10")
+
+
 def test_empty_index(spark, corpus):
     index = inverted.build_inverted(corpus[0].where("false"))
     assert hits(inverted.inverted_search(index, corpus[1], 5)) == []
