@@ -1,6 +1,8 @@
 """Token rollups against a plain replay of the events."""
 
 import random
+import re
+import time
 
 import duckdb
 import public_tokenizers
@@ -99,6 +101,45 @@ def test_counters_and_empty_tables(spark, tmp_path):
     assert total == 6
 
 
+def test_counters_equal_their_regexes(spark):
+    rng = random.Random(11)
+    letters = [*map(chr, range(128)), *"  \n09aZ", "\u0085", "\u00a0", "é", "ß", "e\u0301", "中", "\u2028", "😀", "\ufffd"]
+    texts = [None, "", " ", "7", "x", "é", *("".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(400)), "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    each = {
+        **{name: op.counted(F.col("text"), name) for name in op.COUNTERS},
+        **{f"cleaned {name}": op.counted(op.cleaned_of_digits(F.col("text")), name) for name in op.COUNTERS},
+    }
+    found = {row.doc_id: row for row in docs.select("doc_id", *[n.alias(name) for name, n in each.items()]).collect()}
+    for doc_id, text in enumerate(texts):
+        for name, pattern in op.COUNTERS.items():
+            assert found[doc_id][name] == len(re.findall(pattern, text or "")), (name, text)
+            assert found[doc_id][f"cleaned {name}"] == len(re.findall(pattern, re.sub("[0-9]+", "", text or ""))), (name, text)
+
+
+def test_pieces_of_a_batch_and_texts_of_any_size(spark):
+    sizes = [0, 5 << 20, 1, 3 << 20, 3 << 20, 0, 7]
+    docs = spark.createDataFrame([(i, "ab 12 " * n) for i, n in enumerate(size // 6 for size in sizes)], "doc_id bigint, text string").coalesce(1)
+    found = docs.select("doc_id", op.counted(F.col("text"), "space-1").alias("n"), op.counted(F.col("text"), "alnum-2").alias("m")).collect()
+    assert [(r.n, r.m) for r in sorted(found)] == [(2 * (size // 6), 3 * (size // 6)) for size in sizes]
+
+
+def test_counting_takes_far_less_than_a_regex_in_the_jvm(spark):
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda i: F.concat_ws("-", F.hex(i * 7919 + F.col("id")), F.lit("word"))))
+    docs = spark.range(0, 1500, 1, 4).select("id", text.alias("text")).localCheckpoint()
+
+    def seconds(count):
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            docs.agg(*[F.sum(count(F.col("text"), name)) for name in op.COUNTERS]).collect()
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    by_regex = seconds(lambda text, name: F.regexp_count(F.coalesce(text, F.lit("")), F.lit(op.COUNTERS[name])))
+    assert seconds(op.counted) < by_regex / 2
+
+
 def test_recount_equals_sql_on_repeated_and_null_ids(spark, tmp_path):
     rng = random.Random(5)
     texts = ["a b 12", "c", "c 3 d, e", None, ""]
