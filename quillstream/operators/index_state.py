@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.ids import index_kind, row_id
 from ..plans.sizing import BROADCAST_BYTES, broadcast_if_small, measure
@@ -10,6 +10,8 @@ from ..schemas import INDEX_ROW
 from ..session import settle
 
 DOC_KEY = ["index_name", "doc_id"]
+# Of the number of a row in its file, the bits that are its place in a bitmap: as many as `bitmap_construct_agg` takes.
+PLACE_BITS = 15
 
 
 def to_index_rows(rows: DataFrame, *keep: str) -> DataFrame:
@@ -104,6 +106,39 @@ def apply_deletes(rows: DataFrame, deletes: DataFrame) -> DataFrame:
     )
 
 
+def with_place(stored_table: DataFrame) -> DataFrame:
+    """Rows of a stored table with the file that they lie in, `_file`, and their number in it, `_at`."""
+    return stored_table.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+
+
+def _block_and_bit() -> tuple[Column, Column]:
+    return F.shiftright("_at", PLACE_BITS), F.col("_at").bitwiseAND((1 << PLACE_BITS) - 1)
+
+
+def live_places(log: DataFrame, deletes: DataFrame) -> DataFrame:
+    """Where the live rows of a log lie (`with_place`): a bitmap `_alive` for each block of a file that has any. Keys and
+    places only are shuffled, no text and no vector, and of a row that was written very often one a task."""
+    keys = log.select(*DOC_KEY, "row_id", *_write_order(log), "_file", "_at")
+    alive = apply_deletes(latest_rows(keys), deletes)
+    block, bit = _block_and_bit()
+    return alive.groupBy("_file", block.alias("_block")).agg(F.bitmap_construct_agg(bit).alias("_alive"))
+
+
+def live_stored_rows(log: DataFrame, deletes: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The same as `apply_deletes` of `latest_rows`, for a log that is a stored table and can be read twice, `with_place`.
+
+    Of a first reading, of keys, one bit a row is left, which is broadcast; in the second, rows are taken or dropped where they
+    are read. So however many rows were overwritten or deleted, texts and vectors are not shuffled.
+    """
+    places = settle(live_places(log, deletes))
+    if measure(places)[1] > limit:
+        return apply_deletes(latest_stored_rows(log), deletes)
+    block, bit = _block_and_bit()
+    byte = F.conv(F.hex(F.substr("_alive", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = log.withColumn("_block", block).join(F.broadcast(places), ["_file", "_block"])
+    return marked.where(F.getbit(byte, bit.bitwiseAND(7).cast("int")) == 1).select(*log.columns)
+
+
 def rewritten(log: DataFrame) -> DataFrame:
     """Documents with writes of different arrival, and the last of these; reads keys only, and hot documents are combined
     before the shuffle."""

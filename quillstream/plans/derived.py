@@ -19,6 +19,7 @@ from functools import cache, reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import CREATIONS_TOPIC, DELETIONS_TOPIC, DOCUMENTS_TOPIC
+from .sizing import broadcast_if_small
 
 # Start times in microseconds of what comes later; messages of one kind are a millisecond apart.
 START = 1_735_689_600_000_000
@@ -42,9 +43,14 @@ def topic_of(lang: Column, source: Column) -> Column:
     )
 
 
+@cache
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three numbers a row; while they are few, the texts of the documents are not shuffled to meet them."""
+    return broadcast_if_small(table(spark, sf_dir, "labels"))
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels")
-    return table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    return table(spark, sf_dir, "documents").join(labels(spark, sf_dir), "doc_id", "left")
 
 
 def _envelope(topic: str, partition: int, offset: Column, years: int, value: Column) -> list[Column]:

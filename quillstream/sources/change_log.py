@@ -16,13 +16,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.ids import index_kind
-from ..operators.index_state import apply_deletes, deletion_outcomes, latest_stored_rows, of_last_version, stored
+from ..operators.index_state import deletion_outcomes, live_stored_rows, of_last_version, stored, with_place
 from ..operators.inverted import Inverted, build_inverted
 from ..operators.search import filter_index
 from ..operators.outcomes import last_outcomes
 from ..schemas import DELETES, INDEX_ROW, OUTCOME, REGISTRY
 from ..plans.sizing import broadcast_if_small
-from ..session import settle
+from ..session import settle, written
 from .manifest import Manifest, Part, Version
 
 _BATCH = T.StructField("batch_id", T.LongType())
@@ -50,7 +50,8 @@ SCHEMAS = {
 # Tables of every batch, whose folders are folded.
 LOGGED = ("rows", "keys", "deletes", "registry", "outcomes")
 # A read of a few documents skips the row groups whose filter of doc_id has none of them; filters grow with what they hold.
-BLOOM_FILTER = {"parquet.bloom.filter.enabled#doc_id": "true", "parquet.bloom.filter.adaptive.enabled#doc_id": "true"}
+# Only the setting for all columns makes them grow: named for one column it is ignored, and each takes 1 MB.
+BLOOM_FILTER = {"parquet.bloom.filter.enabled#doc_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 FOLD = 10  # folders of one level that are folded into one of the next
 
 
@@ -66,8 +67,7 @@ class ChangeLog:
     def _write(self, table: str, df: DataFrame, first: int, last: int, level: int = 0) -> Part:
         """Write to a new folder, which nobody sees before a version names it."""
         folder = f"{table}/{first}-{last}-{uuid.uuid4().hex}"
-        writer = df.write.options(**BLOOM_FILTER) if "doc_id" in df.columns else df.write
-        writer.parquet(f"{self.path}/{folder}")
+        written(df, f"{self.path}/{folder}", **BLOOM_FILTER if "doc_id" in df.columns else {})
         return Part(folder, first, last, level)
 
     def write(self, table: str, batch_id: int, df: DataFrame) -> None:
@@ -99,10 +99,13 @@ class ChangeLog:
         paths = [f"{self.path}/{part.folder}" for part in parts]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def _between(self, version: Version, table: str, above: int | None, upto: int) -> DataFrame:
-        """Rows of the batches after `above` and up to `upto`."""
-        parts = [p for p in version.of(table) if p.first <= upto and (above is None or p.last > above)]
-        found = self._frame(table, parts).where(F.col("batch_id") <= upto)
+    @staticmethod
+    def _parts(version: Version, table: str, above: int | None, upto: int) -> list[Part]:
+        return [p for p in version.of(table) if p.first <= upto and (above is None or p.last > above)]
+
+    def _between(self, version: Version, table: str, above: int | None, upto: int, **wanted) -> DataFrame:
+        """Rows of the batches after `above` and up to `upto` that meet the conditions (`filter_index`)."""
+        found = filter_index(self._frame(table, self._parts(version, table, above, upto)), **wanted).where(F.col("batch_id") <= upto)
         return found if above is None else found.where(F.col("batch_id") > above)
 
     def read(self, table: str, upto: int | None = None) -> DataFrame:
@@ -177,16 +180,22 @@ class ChangeLog:
 
     def _live(self, version: Version, replace_document: bool = False, index_name: str | None = None, doc_ids: Sequence[str] | None = None) -> DataFrame:
         columns = [f.name for f in INDEX_ROW.fields]
-        # with the batch, as a message that was delivered again is told from the first by nothing else
-        recent = stored(self._between(version, "rows", version.compacted, version.committed)).select(*columns, "batch_id")
-        parts = [recent]
-        if version.of("snapshot"):
-            parts.append(self._frame("snapshot", version.of("snapshot")).select(*columns, "batch_id"))
         wanted = {"index_name": index_name, "doc_id": None if doc_ids is None else list(doc_ids)}
         wanted = {name: value for name, value in wanted.items() if value is not None}
-        rows = filter_index(reduce(DataFrame.unionByName, parts), **wanted)
-        deletes = self._between(version, "deletes", None, version.committed)
-        live = apply_deletes(latest_stored_rows(rows), filter_index(deletes, **wanted)).select(*columns)
+        parts = []
+        if self._parts(version, "rows", version.compacted, version.committed):
+            parts.append(stored(self._between(version, "rows", version.compacted, version.committed, **wanted)))
+        if version.of("snapshot"):
+            parts.append(filter_index(self._frame("snapshot", version.of("snapshot")), **wanted))
+        if not parts:
+            return self._frame("snapshot", []).select(*columns)
+        # with the batch, as a message that was delivered again is told from the first by nothing else
+        rows = reduce(DataFrame.unionByName, [with_place(part).select(*columns, "batch_id", "_file", "_at") for part in parts])
+        if version.compacted == version.committed:
+            # a snapshot that no batch came after has each row once, and none that a deletion took
+            live = rows.select(*columns)
+        else:
+            live = live_stored_rows(rows, self._between(version, "deletes", None, version.committed, **wanted)).select(*columns)
         if replace_document:
             # the last write of a document is in the snapshot or after it, unless all of the document was deleted
             live = of_last_version(live, rows)
