@@ -24,7 +24,7 @@ from quillstream.plans.derived import table
 from quillstream.plans.replay import Replay, registry_of, replay
 from quillstream.plans.sizing import packed, spread
 from quillstream.schemas import ENVELOPE
-from quillstream.session import checkpoint_folder, configure, settle, settled_path
+from quillstream.session import checkpoint_folder, configure, discard, settle, settled_path
 from quillstream.sources.change_log import ChangeLog
 from quillstream.sources.messages import MessageSource, read_deletions, read_documents, read_index_creations
 from quillstream.streaming.ingest import IngestSettings, Sources, apply_batch, backfill, prepare
@@ -484,7 +484,8 @@ def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> ChangeLog:
-    """All messages through the file source and the streaming ingest, documents in batches of four files."""
+    """All messages through the file source and the streaming ingest, documents in batches of four files; the files go when
+    the log has what is in them."""
     configure(spark)
     documents = _through_source(derived.document_messages(spark, sf_dir))
     sources = Sources(
@@ -494,6 +495,8 @@ def _streamed(spark: SparkSession, sf_dir: str) -> ChangeLog:
     )
     out = f"{checkpoint_folder(spark)}/stream-{spark.sql('select uuid()').first()[0]}"
     backfill(spark, sources, f"{out}/index", f"{out}/offsets", SMALL)
+    for source in (sources.documents, sources.deletions, sources.creations):
+        discard(spark, source.path)
     return ChangeLog(spark, f"{out}/index")
 
 

@@ -52,9 +52,25 @@ LOGGED = ("rows", "keys", "deletes", "registry", "outcomes")
 # A read of a few documents skips the row groups whose filter of doc_id has none of them; filters grow with what they hold.
 # Only the setting for all columns makes them grow: named for one column it is ignored, and each takes 1 MB.
 BLOOM_FILTER = {"parquet.bloom.filter.enabled#doc_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+# Ranges that a snapshot is written in: the disk of its shuffle is cut by this number, and the log is read once more for each.
+SLICES = 2
 FOLD = 10  # folders of one level that are folded into one of the next
 
 
+def _ranges(rows: DataFrame, slices: int, *keys: str) -> list[DataFrame]:
+    """Rows of a stored table in ranges of the keys with about as many rows; all in one where the keys fill no two partitions."""
+    key = F.struct(*keys)
+    ranged = rows.select(*keys).repartitionByRange(*keys)
+    found = settle(ranged.groupBy(F.spark_partition_id().alias("_part")).agg(F.min(key).alias("_least"), F.count(F.lit(1)).alias("_n"))).orderBy("_part").collect()
+    total, before, least = sum(r["_n"] for r in found), 0, [None]
+    for r in found:
+        if before * slices >= total * len(least) and r is not found[0]:
+            least.append(F.struct(*[F.lit(r["_least"][name]).cast(rows.schema[name].dataType).alias(name) for name in keys]))
+        before += r["_n"]
+    conditions = [reduce(lambda a, b: a & b, [key >= low] * (low is not None) + [key < high] * (high is not None), F.lit(True)) for low, high in zip(least, [*least[1:], None])]
+    return [rows.where(condition) for condition in conditions]
+
+
 class ChangeLog:
     """Tables below one folder of a shared file system, written by one streaming query at a time."""
 
@@ -228,7 +244,8 @@ class ChangeLog:
         """Write the live index as a snapshot, sorted by index and row, in place of the rows it was made of.
 
         The range split is on both columns: a hot index is cut over many files and small indices share one, and the
-        file statistics let a filter on `index_name` skip the rest. Keys of all writes stay, for what is reported of deletions.
+        file statistics let a filter on `index_name` skip the rest. A large one is written in `SLICES` ranges, one after the other,
+        as the shuffle of all its texts and vectors takes twice the disk of the rows. Keys of all writes stay, for what is reported of deletions.
         """
         version = self._manifest.current()
         last = version.committed
@@ -236,17 +253,19 @@ class ChangeLog:
             return
         rows = self._live(version)
         keys = ["index_name", "row_id"]
-        ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
-        self.write("snapshot", last, ranged.sortWithinPartitions(*keys))
-        part = self._staged.pop(("snapshot", last))
+        parts = []
+        for part in _ranges(rows, SLICES, *keys):
+            ranged = part.repartitionByRange(-(-files // SLICES), *keys) if files else part.repartitionByRange(*keys)
+            self.write("snapshot", last, ranged.sortWithinPartitions(*keys))
+            parts.append(self._staged.pop(("snapshot", last)))
 
         def change(old: Version) -> Version:
             if old.compacted >= last:
                 return old
-            return replace(old.with_parts(snapshot=[part], rows=[p for p in old.of("rows") if p.last > last]), compacted=last)
+            return replace(old.with_parts(snapshot=parts, rows=[p for p in old.of("rows") if p.last > last]), compacted=last)
 
         self._manifest.publish(change)
-        self._manifest.sweep([*version.folders(), part.folder])
+        self._manifest.sweep([*version.folders(), *[part.folder for part in parts]])
 
     def fold(self) -> None:
         """Fold folders that are full in number into larger ones, and remove those that no kept version names any more.

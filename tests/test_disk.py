@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from quillstream.operators.index_state import apply_deletes, latest_rows, live_stored_rows, with_place
 from quillstream.plans import derived
 from quillstream.schemas import ARRIVAL
-from quillstream.session import settle
-from quillstream.sources.change_log import ChangeLog
+from quillstream.session import discard, settle, settled_path
+from quillstream.sources.change_log import SCHEMAS, ChangeLog
 
 COLUMNS = ("index_name", "row_id", "doc_id", "text", "arrival", "batch_id")
 
@@ -72,6 +72,32 @@ def test_rows_overwritten_in_great_number_are_not_shuffled(spark):
     assert "hashpartitioning" not in few._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_snapshot_in_ranges_is_the_live_index(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "out"))
+    missing = [f for f in SCHEMAS["rows"].fields if f.name not in COLUMNS]
+    for batch_id in (0, 1):
+        rows = versions(spark, batch_id).select(*COLUMNS, *[F.lit(0 if f.name == "chunk_id" else None).cast(f.dataType).alias(f.name) for f in missing])
+        log.write("rows", batch_id, rows)
+        log.write("deletes", batch_id, deleted(spark).where(F.lit(batch_id == 1)))
+        log.commit(batch_id)
+    wanted = shown(log.live())
+    assert 0 < len(wanted) < 3_000 and {text.split(" of ")[0] for _, text in wanted} == {"version 1"}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        log.compact()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    version = log._manifest.current()
+    assert len(version.of("snapshot")) == 2 and not version.of("rows")
+    assert shown(log.live()) == wanted
+
+
+def test_a_discarded_table_is_gone(spark):
+    path = settled_path(spark.range(3))
+    discard(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
 def test_few_labels_meet_texts_without_a_shuffle(spark, tmp_path):
     spark.range(50).selectExpr("id AS doc_id", "'text' AS text").write.parquet(f"{tmp_path}/documents.parquet")
     spark.range(0, 50, 2).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
